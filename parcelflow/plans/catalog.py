@@ -13,7 +13,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.operators import integrity, reports, scans
+from parcelflow.operators import integrity, keys, reports, scans
+from parcelflow.plans.first_load import FirstLoad, customers_after_two_loads
 from parcelflow.session import ensure_checkpoint_dir
 from parcelflow.sources.driver_tables import DEFAULT_AS_OF, fleet_tables_from_driver_data
 from parcelflow.sources.tables import FleetTables
@@ -56,9 +57,36 @@ INTEGRITY: dict[str, TableQuery] = {
 }
 
 
+
+def _load(t: FleetTables) -> FirstLoad:
+    return FirstLoad(t, AS_OF)
+
+
+ETL: dict[str, TableQuery] = {
+    "extract_daily": lambda t: _load(t).extracted(),
+    "transform_all": lambda t: _load(t).transformed(),
+    "build_dim_vehicle": lambda t: _load(t).dim_vehicle(),
+    "build_dim_driver": lambda t: _load(t).dim_driver(),
+    "build_dim_route": lambda t: _load(t).dim_route(),
+    "build_dim_customer": lambda t: _load(t).dim_customer(),
+    "build_dim_date": lambda t: _load(t).dim_date(),
+    "build_dim_time": lambda t: _load(t).dim_time(),
+    "load_fact": lambda t: _load(t).fact(),
+    "daily_totals": lambda t: _load(t).totals(),
+    "sales_view": lambda t: _load(t).sales_view(),
+    "operations_view": lambda t: _load(t).operations_view(),
+    "merge_insert_if_absent": lambda t: customers_after_two_loads(
+        t, AS_OF - _dt.timedelta(days=60), AS_OF
+    ),
+    "dedupe_keep_first": lambda t: keys.dedupe_keep_first(
+        t.deliveries, ["delivery_id"], ["scheduled_datetime"]
+    ),
+}
+
+
 def table_queries() -> dict[str, TableQuery]:
     out: dict[str, TableQuery] = {}
-    for group in (REPORTS, INTEGRITY):
+    for group in (REPORTS, INTEGRITY, ETL):
         out.update(group)
     return out
 

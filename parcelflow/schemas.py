@@ -7,8 +7,7 @@ batches.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 LONG = T.LongType()
@@ -275,12 +274,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: cast present columns, null-fill absent ones.
 
     Extra columns are dropped. This is the warehouse's DDL in DataFrame form.
+    Built as one ``selectExpr`` so a wide table costs one planner call.
     """
     present = set(df.columns)
-    cols: list[Column] = []
+    exprs = []
     for field in schema.fields:
-        if field.name in present:
-            cols.append(F.col(field.name).cast(field.dataType).alias(field.name))
-        else:
-            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
-    return df.select(*cols)
+        dtype = field.dataType.simpleString()
+        source = f"`{field.name}`" if field.name in present else "NULL"
+        exprs.append(f"CAST({source} AS {dtype}) AS `{field.name}`")
+    return df.selectExpr(*exprs)
