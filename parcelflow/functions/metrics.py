@@ -103,15 +103,21 @@ def toll_by_band(distance_km: Column | str) -> Column:
     return (F.floor(_c(distance_km) / TOLL_BAND_KM) * TOLL_PER_BAND).cast("decimal(10,2)")
 
 
+def zero_pad(number: Column | str, width: int) -> Column:
+    """Left-pad digits with zeros to ``width``; longer numbers stay whole."""
+    s = _c(number).cast("string")
+    return F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0"))
+
+
 def format_code(prefix: str, number: Column | str, width: int) -> Column:
     """Zero-padded business key such as ``EMP0001`` or ``R001``."""
-    return F.concat(F.lit(prefix), F.lpad(_c(number).cast("string"), width, "0"))
+    return F.concat(F.lit(prefix), zero_pad(number, width))
 
 
 def tracking_code(year: Column | str | int, seq: Column | str, width: int = 8) -> Column:
     """``FL<year><seq padded to 8>`` tracking numbers."""
     y = F.lit(year) if isinstance(year, int) else _c(year)
-    return F.concat(F.lit("FL"), y.cast("string"), F.lpad(_c(seq).cast("string"), width, "0"))
+    return F.concat(F.lit("FL"), y.cast("string"), zero_pad(seq, width))
 
 
 def trip_status(arrival: Column | str, now: Column) -> Column:

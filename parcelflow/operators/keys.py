@@ -96,16 +96,21 @@ def lookup_symmetric_default(
     """Look up a value for the unordered pair (``a``, ``b``), with a default.
 
     Both sides are normalised to (least, greatest), so (B, A) finds a value
-    stored as (A, B). The pair table is a small lookup; it joins by size.
+    stored as (A, B). A pair stored twice keeps its smallest value. The
+    pair table is a small lookup; it joins by size.
     """
-    norm_pairs = pairs.select(
-        F.least(pair_a, pair_b).alias("_lo"),
-        F.greatest(pair_a, pair_b).alias("_hi"),
-        F.col(value_col).alias("_v"),
-    ).dropDuplicates(["_lo", "_hi"])
+    norm_pairs = (
+        pairs.select(
+            F.least(pair_a, pair_b).alias("_lo"),
+            F.greatest(pair_a, pair_b).alias("_hi"),
+            F.col(value_col).alias("_v"),
+        )
+        .groupBy("_lo", "_hi")
+        .agg(F.min("_v").alias("_v"))
+    )
     keyed = df.withColumn("_lo", F.least(a, b)).withColumn("_hi", F.greatest(a, b))
     return (
         keyed.join(norm_pairs, ["_lo", "_hi"], "left")
-        .withColumn(value_col, F.coalesce(F.col("_v"), F.lit(default)))
+        .withColumn(value_col, F.coalesce(F.col("_v"), F.lit(default)).cast(pairs.schema[value_col].dataType))
         .drop("_lo", "_hi", "_v")
     )

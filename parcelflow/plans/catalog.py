@@ -13,7 +13,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.operators import integrity, keys, reports, scans
+from pyspark.sql import functions as F
+
+from parcelflow.functions import calendar as cal
+from parcelflow.functions import metrics as m
+from parcelflow.operators import expansion, fact, integrity, keys, quality, reports, scans
+from parcelflow.operators.etl import add_group_size
 from parcelflow.plans.first_load import FirstLoad, customers_after_two_loads
 from parcelflow.session import ensure_checkpoint_dir
 from parcelflow.sources.driver_tables import DEFAULT_AS_OF, fleet_tables_from_driver_data
@@ -84,9 +89,95 @@ ETL: dict[str, TableQuery] = {
 }
 
 
+
+
+def _fk_check(t: FleetTables) -> DataFrame:
+    load = _load(t)
+    return quality.dq_fk(load.fact(), load.dim_customer(), "customer_key")
+
+
+def _slots(t: FleetTables) -> DataFrame:
+    per_trip = t.deliveries.groupBy("trip_id").agg(F.count(F.lit(1)).alias("n"))
+    return expansion.slot_times(t.trips, per_trip)
+
+
+def _allocation(t: FleetTables) -> DataFrame:
+    rows = t.deliveries.select("delivery_id", "trip_id", "package_weight_kg").join(
+        t.trips.select("trip_id", "total_weight_kg"), "trip_id"
+    )
+    return expansion.proportional_allocation(rows, "trip_id", "package_weight_kg", "total_weight_kg").select(
+        "delivery_id", "trip_id", "allocated"
+    )
+
+
+def _reverse_pair_distance(t: FleetTables) -> DataFrame:
+    legs = t.trips.select("trip_id", "route_id").join(
+        t.routes.select("route_id", F.col("destination_city").alias("from_city"), F.col("origin_city").alias("to_city")),
+        "route_id",
+    )
+    pairs = t.routes.select(
+        F.col("origin_city").alias("a"), F.col("destination_city").alias("b"), "distance_km"
+    )
+    return keys.lookup_symmetric_default(legs, "from_city", "to_city", pairs, "distance_km", 500).select(
+        "trip_id", "from_city", "to_city", "distance_km"
+    )
+
+
+def _time_keys(t: FleetTables) -> DataFrame:
+    d = t.deliveries
+    return (
+        d.select(cal.time_key("scheduled_datetime").alias("time_key"))
+        .union(d.select(cal.time_key("delivered_datetime").alias("time_key")))
+        .where(F.col("time_key").isNotNull())
+        .distinct()
+    )
+
+
+QUALITY: dict[str, TableQuery] = {
+    "dq_report": lambda t: quality.dq_report(t),
+    "dq_key_unique": lambda t: quality.dq_key_unique(t.deliveries, ["delivery_id"]),
+    "dq_fk": _fk_check,
+    "table_count": lambda t: quality.table_count(t),
+    "deliveries_per_trip_stats": lambda t: quality.deliveries_per_trip_stats(t.deliveries),
+    "vehicle_activity": lambda t: quality.vehicle_activity(t.trips, t.vehicles),
+    "batch_count": lambda t: fact.batch_count(_load(t).fact(), _load(t).batch_id),
+    "summary_report": lambda t: quality.summary_report(t, quality.dq_report(t), AS_OF),
+}
+
+PRIMITIVES: dict[str, TableQuery] = {
+    "filter_recent": lambda t: scans.filter_recent(t.deliveries, "delivered_datetime", AS_OF, days=90).select(
+        "delivery_id", "trip_id", "delivered_datetime"
+    ),
+    "drop_null_rows": lambda t: scans.drop_null_rows(
+        t.deliveries, ["delivered_datetime", "scheduled_datetime"]
+    ).select("delivery_id", "scheduled_datetime", "delivered_datetime"),
+    "filter_weight_range": lambda t: scans.filter_weight_range(t.deliveries).select(
+        "delivery_id", "package_weight_kg"
+    ),
+    "filter_status": lambda t: scans.filter_status(t.trips, "status", "completed").select(
+        "trip_id", "vehicle_id", "driver_id"
+    ),
+    "select_rename": lambda t: scans.select_rename(t.vehicles, upper=True),
+    "group_size_broadcast": lambda t: add_group_size(
+        t.deliveries.select("delivery_id", "trip_id"), "trip_id", "deliveries_in_trip"
+    ),
+    "union_time_keys": _time_keys,
+}
+
+REAIMED: dict[str, TableQuery] = {
+    "spread_dates": lambda t: expansion.spread_dates(quality.vehicle_activity(t.trips, t.vehicles)),
+    "slot_times": _slots,
+    "proportional_allocation": _allocation,
+    "lookup_symmetric_default": _reverse_pair_distance,
+    "format_code": lambda t: t.drivers.select("driver_id", m.format_code("EMP", "driver_id", 4).alias("employee_code")),
+    "toll_by_band": lambda t: t.routes.select("route_id", "distance_km", m.toll_by_band("distance_km").alias("toll_cost")),
+    "trip_status": lambda t: expansion.trip_status_as_of(t.trips, AS_OF),
+}
+
+
 def table_queries() -> dict[str, TableQuery]:
     out: dict[str, TableQuery] = {}
-    for group in (REPORTS, INTEGRITY, ETL):
+    for group in (REPORTS, INTEGRITY, ETL, QUALITY, PRIMITIVES, REAIMED):
         out.update(group)
     return out
 
