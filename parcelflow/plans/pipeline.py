@@ -35,7 +35,7 @@ from parcelflow.sources.tables import FleetTables
 class BatchMetrics:
     etl_batch_id: int
     as_of: _dt.date
-    records_extracted: int = 0
+    records_extracted: int | None = 0
     records_transformed: int = 0
     records_loaded: int = 0
     errors: int = 0
@@ -46,6 +46,14 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _rows(obs: Observation, fallback) -> int | None:
+    """Row count seen by an observation; ``fallback()`` recounts if it is unavailable."""
+    try:
+        return int(obs.get.get("rows", 0))
+    except Exception:  # metrics must never fail a load
+        return fallback() if fallback else None
+
+
 def load_dimensions(wh: Warehouse, staged: DataFrame, as_of: _dt.date) -> dict[str, DataFrame]:
     """Insert new members of the six dimensions; return the key maps."""
     wh.append("dim_vehicle", dims.vehicle_inserts(dims.stage_vehicles(staged), wh.read("dim_vehicle"), as_of))
@@ -83,7 +91,18 @@ def load_facts(
     rows = rows.withColumn("etl_timestamp", F.lit(load_ts).cast("timestamp_ntz"))
     rows, obs = _observed(rows, "fact_rows")
     wh.append("fact_deliveries", rows, partition_by=["date_key"])
-    return int(obs.get.get("rows", 0)), lo, hi
+
+    def recount() -> int:
+        if lo is None:
+            return 0
+        written = wh.read("fact_deliveries").where(
+            F.col("date_key").between(lo, hi)
+            & (F.col("etl_batch_id") == int(batch_id))
+            & (F.col("etl_timestamp") == F.lit(load_ts).cast("timestamp_ntz"))
+        )
+        return written.count()
+
+    return _rows(obs, recount) or 0, lo, hi
 
 
 def load_daily_totals(wh: Warehouse, batch_id: int, lo: int | None, hi: int | None) -> None:
@@ -119,10 +138,10 @@ def run_pipeline(
     )
     transformed, obs_transform = _observed(etl.transform_all(extracted, ref), "transform")
     staged = stage_overwrite(transformed, wh.stage_path(batch))
-    metrics.records_extracted = int(obs_extract.get.get("rows", 0))
-    metrics.records_transformed = int(obs_transform.get.get("rows", 0))
+    metrics.records_extracted = _rows(obs_extract, None)
+    metrics.records_transformed = _rows(obs_transform, staged.count)
 
-    if metrics.records_transformed > 0:
+    if metrics.records_transformed:
         maps = load_dimensions(wh, staged, ref)
         metrics.records_loaded, lo, hi = load_facts(wh, staged, maps, batch, stamp, idempotent)
         load_daily_totals(wh, batch, lo, hi)
