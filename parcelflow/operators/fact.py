@@ -20,8 +20,10 @@ FACT_COLUMNS = [
     "is_on_time", "has_signature", "delivery_status", "etl_batch_id",
 ]
 
-# Customer names can be as many as deliveries; only small lookups are broadcast.
-LOOKUP_BROADCAST_ROWS = 2_000_000
+# Row bounds under which a key map is broadcast. Vehicle, driver and route
+# maps are fleet-sized; customer names can grow with deliveries, so that map
+# gets a lower bound and otherwise joins by shuffle (AQE splits hot keys).
+LOOKUP_BROADCAST_ROWS = {"vehicle": 1_000_000, "driver": 1_000_000, "route": 1_000_000, "customer": 200_000}
 
 # Fixed value: customer type hidden from the sales view.
 HIDDEN_CUSTOMER_TYPE = "Gobierno"
@@ -32,19 +34,19 @@ def fact_rows(
 ) -> DataFrame:
     """Resolve surrogate keys and project the fact columns.
 
-    Each lookup is an inner join (lookup + drop of unresolved rows). The
-    vehicle, driver and route maps are broadcast after a row-count check;
-    the customer map joins by shuffle unless it is small too.
+    Each lookup is an inner join (lookup + drop of unresolved rows). A map
+    is broadcast only after a row-count check under its bound
+    (``LOOKUP_BROADCAST_ROWS``); a larger one joins by shuffle.
     """
 
-    def lookup(df: DataFrame) -> DataFrame:
-        return broadcast_if_bounded(df, LOOKUP_BROADCAST_ROWS) if check_sizes else df
+    def lookup(name: str) -> DataFrame:
+        return broadcast_if_bounded(maps[name], LOOKUP_BROADCAST_ROWS[name]) if check_sizes else maps[name]
 
     df = (
-        transformed.join(lookup(maps["vehicle"]), "vehicle_id")
-        .join(lookup(maps["driver"]), "driver_id")
-        .join(lookup(maps["route"]), "route_id")
-        .join(lookup(maps["customer"]), "customer_name")
+        transformed.join(lookup("vehicle"), "vehicle_id")
+        .join(lookup("driver"), "driver_id")
+        .join(lookup("route"), "route_id")
+        .join(lookup("customer"), "customer_name")
     )
     df = df.withColumns(
         {

@@ -164,18 +164,22 @@ def late_by_weekday(deliveries: DataFrame, threshold_minutes: int = 60, late_onl
     The reference compares the *absolute* difference, so early deliveries
     count too; ``late_only=True`` keeps only late ones. Rows are ordered by
     the weekday of each group's earliest delivery (0 = Sunday first).
+    The threshold is compared in whole microseconds (exact, no division per
+    row). Grouping is on the integer weekday (one-to-one with the name); the
+    name is formatted once per group, not once per row.
     """
-    minutes = cal.minutes_between("scheduled_datetime", "delivered_datetime")
-    off = minutes if late_only else F.abs(minutes)
+    micros = cal.micros_between("scheduled_datetime", "delivered_datetime")
+    off = micros if late_only else F.abs(micros)
     return (
-        deliveries.where((F.col("delivery_status") == DELIVERED) & (off >= threshold_minutes))
-        .groupBy(cal.weekday_name_pg("delivered_datetime").alias("dia_semana"))
+        deliveries.where((F.col("delivery_status") == DELIVERED) & (off >= threshold_minutes * 60_000_000))
+        .groupBy(cal.pg_dow("delivered_datetime").alias("_dow"))
         .agg(
             F.count("delivery_id").alias("num_pedidos_retrasados"),
             F.min("delivered_datetime").alias("_first"),
         )
-        .orderBy(cal.pg_dow("_first").asc_nulls_last())
-        .drop("_first")
+        .select(cal.weekday_name_pg("_first").alias("dia_semana"), "num_pedidos_retrasados", "_dow")
+        .orderBy(F.asc_nulls_last("_dow"))
+        .drop("_dow")
     )
 
 
