@@ -89,7 +89,8 @@ def add_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
     the key, rather than a window over the key: a key with a third of all
     rows is then pre-reduced before its shuffle and AQE can split the
     skewed join partition; a window would sort that whole group in one task.
-    Rows with a null key get a null size.
+    Rows with a null key get a null size. ``df`` is read twice, so give it
+    a stored input (the pipeline stages the extract) rather than a join chain.
     """
     sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
     return df.join(sizes, key, "left")

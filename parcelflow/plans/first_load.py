@@ -1,9 +1,11 @@
 """One ETL batch into an empty warehouse, as pure DataFrames.
 
 These plans compute what the pipeline would write on its first run, without
-writing anything, so every stage can be registered as a query and compared
-with its SQL oracle. ``parcelflow.plans.pipeline`` runs the same operators
-against a persisted warehouse.
+writing warehouse tables, so every stage can be registered as a query and
+compared with its SQL oracle. Where the pipeline stages a frame to its
+warehouse folder, these plans checkpoint it instead.
+``parcelflow.plans.pipeline`` runs the same operators against a persisted
+warehouse.
 """
 
 from __future__ import annotations
@@ -56,7 +58,18 @@ class FirstLoad:
         )
 
     def transformed(self) -> DataFrame:
-        return self._get("transformed", lambda: etl.transform_all(self.extracted(), self.as_of))
+        """The transformed batch, checkpointed like the pipeline's stage.
+
+        The extract is checkpointed first (the transform reads it twice),
+        then the result (six dimensions and the fact read it), both into
+        the session's reliable checkpoint folder.
+        """
+
+        def build() -> DataFrame:
+            extracted = self.extracted().checkpoint(eager=True)
+            return etl.transform_all(extracted, self.as_of).checkpoint(eager=True)
+
+        return self._get("transformed", build)
 
     def dim_vehicle(self) -> DataFrame:
         return self._get(

@@ -28,9 +28,16 @@ def fleet_tables_from_parquet(spark: SparkSession, root: str) -> FleetTables:
     )
 
 
-def write_fleet_tables(tables: FleetTables, root: str, mode: str = "overwrite") -> None:
-    """Persist a table set as Parquet folders (one job per table)."""
+def write_fleet_tables(
+    tables: FleetTables, root: str, mode: str = "overwrite", files_per_table: int | None = None
+) -> None:
+    """Persist a table set as Parquet folders (one job per table).
+
+    ``files_per_table`` spreads each table over that many files, so later
+    scans run in parallel even when a source arrived as one file.
+    """
     for name in TABLE_NAMES:
-        schemas.conform(tables.table(name), schemas.OLTP[name]).write.mode(mode).parquet(
-            os.path.join(root, name)
-        )
+        df = schemas.conform(tables.table(name), schemas.OLTP[name])
+        if files_per_table:
+            df = df.repartition(files_per_table)
+        df.write.mode(mode).parquet(os.path.join(root, name))
