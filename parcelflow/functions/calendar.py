@@ -55,6 +55,13 @@ def months_before(as_of: _dt.date | str, months: int) -> _dt.date:
     return _dt.date(year, month, day)
 
 
+def parse_datetime(col: Column | str, fmt: str | None = None) -> Column:
+    """Text (or a timestamp) to TIMESTAMP_NTZ; unparseable text gives NULL."""
+    c = _c(col).cast("string")
+    parsed = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
+    return parsed.cast("timestamp_ntz")
+
+
 def pg_dow(ts: Column | str) -> Column:
     """PostgreSQL ``EXTRACT(DOW ...)``: 0 = Sunday ... 6 = Saturday."""
     return F.dayofweek(_c(ts)) - 1

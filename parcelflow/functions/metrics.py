@@ -98,6 +98,22 @@ def empty_text(col: Column | str) -> Column:
     return F.coalesce(_c(col), F.lit("")) == ""
 
 
+# Fixed value: connective of the maintenance description text.
+MAINTENANCE_DESCRIPTION_JOIN = " programado para "
+
+
+def address_text(street: Column | str, city: Column | str) -> Column:
+    """Delivery address ``<street>, <city>``."""
+    return F.concat(_c(street), F.lit(", "), _c(city))
+
+
+def maintenance_description(maintenance_type: Column | str, maintenance_date: Column | str) -> Column:
+    """``<type> programado para <yyyy-MM-dd>``."""
+    return F.concat(
+        _c(maintenance_type), F.lit(MAINTENANCE_DESCRIPTION_JOIN), F.date_format(_c(maintenance_date), "yyyy-MM-dd")
+    )
+
+
 def toll_by_band(distance_km: Column | str) -> Column:
     """Toll: whole 100 km bands x 15000."""
     return (F.floor(_c(distance_km) / TOLL_BAND_KM) * TOLL_PER_BAND).cast("decimal(10,2)")

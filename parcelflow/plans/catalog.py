@@ -172,6 +172,9 @@ REAIMED: dict[str, TableQuery] = {
     "format_code": lambda t: t.drivers.select("driver_id", m.format_code("EMP", "driver_id", 4).alias("employee_code")),
     "toll_by_band": lambda t: t.routes.select("route_id", "distance_km", m.toll_by_band("distance_km").alias("toll_cost")),
     "trip_status": lambda t: expansion.trip_status_as_of(t.trips, AS_OF),
+    "concat_text": lambda t: t.maintenance.select(
+        "maintenance_id", m.maintenance_description("maintenance_type", "maintenance_date").alias("description")
+    ),
 }
 
 

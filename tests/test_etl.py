@@ -141,3 +141,24 @@ def test_daily_totals_round_half_up(spark):
     assert (r.num_entregas, r.total_revenue) == (8, D("360.00"))
     assert r.avg_delivery_time == D("3.75")  # 30.01 / 8 = 3.75125
     assert r.on_time_rate == D("0.13")  # 1 / 8 = 0.125 rounds up
+
+
+def test_hot_trip_with_a_third_of_rows(spark):
+    """One trip holds a third of all deliveries: sizes stay exact and no window is planned."""
+    hot = [delivery(i, tid=1, customer=f"C{i % 7}") for i in range(1, 301)]
+    cold = [delivery(1000 + i, tid=2 + i % 50, customer=f"C{i % 7}") for i in range(600)]
+    t = tables(
+        spark,
+        vehicles=[vehicle(1)],
+        drivers=[driver(1)],
+        routes=[route(1)],
+        trips=[trip(i, vid=1, did=1, rid=1) for i in range(1, 52)],
+        deliveries=hot + cold,
+    )
+    ext = etl.extract_daily(t.deliveries, t.trips, t.routes, t.vehicles, t.drivers, AS_OF)
+    out = etl.transform_all(ext, AS_OF)
+    sizes = {r.trip_id: r.deliveries_in_trip for r in out.select("trip_id", "deliveries_in_trip").distinct().collect()}
+    assert sizes[1] == 300 and sizes[2] == 12 and len(sizes) == 51
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    deduped = keys.dedupe_keep_first(t.deliveries, ["trip_id"], ["scheduled_datetime", "delivery_id"])
+    assert {r.trip_id: r.delivery_id for r in deduped.collect()}[1] == 1

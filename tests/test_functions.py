@@ -108,3 +108,20 @@ def test_format_code_never_truncates(spark):
 def test_toll_by_band(spark):
     df = spark.createDataFrame([(D("99.99"),), (D("460.00"),), (D("1050.00"),)], "d decimal(10,2)")
     assert [r.t for r in df.select(m.toll_by_band("d").alias("t")).collect()] == [D("0"), D("60000"), D("150000")]
+
+
+def test_parse_datetime(spark):
+    df = spark.createDataFrame([("2026-11-02 09:10:00",), ("not a date",), (None,)], "s string")
+    got = [r.t for r in df.select(cal.parse_datetime("s").alias("t")).collect()]
+    assert got == [dt.datetime(2026, 11, 2, 9, 10), None, None]
+    r = df.select(cal.parse_datetime(F.lit("02/11/2026 07:00"), "dd/MM/yyyy HH:mm").alias("t")).first()
+    assert r.t == dt.datetime(2026, 11, 2, 7, 0)
+
+
+def test_text_builders(spark):
+    df = spark.createDataFrame([("Calle 5 # 10-20", "Cali", "Cambio de aceite", dt.date(2026, 3, 4))],
+                               "street string, city string, kind string, day date")
+    r = df.select(m.address_text("street", "city").alias("a"),
+                  m.maintenance_description("kind", "day").alias("d")).first()
+    assert r.a == "Calle 5 # 10-20, Cali"
+    assert r.d == "Cambio de aceite programado para 2026-03-04"
