@@ -17,7 +17,12 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    builder = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+    warehouse = tempfile.mkdtemp(prefix="run-catalog-", dir="/tmp")
+    builder = (
+        SparkSession.builder.master("local[*]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.warehouse.dir", warehouse)
+    )
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()

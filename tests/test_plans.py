@@ -56,3 +56,25 @@ def test_windows_over_data_are_partitioned(spark):
         for line in plan.splitlines():
             if "Window [" in line:
                 assert "windowspecdefinition(" in line and ", [" not in line.split("windowspecdefinition(")[1][:2]
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from parcelflow.sources import fleet_tables_from_catalog, write_fleet_catalog
+
+    write_fleet_catalog(spark, fleet_tables_from_driver_data(spark, SF_SMALL), "fleet_bucketed", buckets=4)
+    t = fleet_tables_from_catalog(spark, "fleet_bucketed")
+    # Broadcast off: at scale trips are far too big to broadcast.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        q4 = reports.deliveries_by_city(t.deliveries, t.trips, t.routes, AS_OF)
+        q4.collect()
+        plan = plan_of(q4)
+        assert "SortMergeJoin" in plan
+        assert "hashpartitioning(trip_id" not in plan.lower()
+        joined = t.deliveries.join(t.trips, "trip_id")
+        assert "hashpartitioning(trip_id" not in plan_of(joined).lower()
+        assert joined.count() == t.deliveries.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
