@@ -2,9 +2,9 @@
 
 In the reference these steps live inside the random data generator; here
 they are deterministic DataFrame operators over real tables. Row expansion
-is ``explode(sequence(...))`` (narrow, no shuffle); group totals come from
-an aggregate joined back on the group key, never from a window over a
-possibly huge group.
+is ``explode(sequence(...))`` in chunks spread over tasks (``explode_range``);
+group totals come from an aggregate joined back on the group key, never
+from a window over a possibly huge group.
 """
 
 from __future__ import annotations
@@ -17,12 +17,33 @@ from pyspark.sql import functions as F
 from parcelflow.functions import calendar as cal
 from parcelflow.functions import metrics as m
 
+# Most rows one task expands in one go; bigger counts are split into chunks
+# that are spread over tasks before the expansion.
+EXPLODE_CHUNK = 100_000
 TRIPS_PER_SERVICE = 20
 DEFAULT_SLOT_HOURS = 0.5
 ALLOCATED_SHARE = "0.95"
 MIN_SHARE = "0.5"
 
 
+def explode_range(df: DataFrame, count_col: str, out_col: str, first: int = 1, chunk: int = EXPLODE_CHUNK) -> DataFrame:
+    """One row per value ``first .. first + count - 1`` of each input row.
+
+    Rows are first expanded into chunk descriptors (one per ``chunk``
+    values) and redistributed on (row, chunk), then each chunk is expanded.
+    A row whose count is a third of all output is thus produced by many
+    tasks, not one. Rows with a count below 1 (or NULL) produce nothing.
+    """
+    n = F.col(count_col).cast("bigint")
+    chunks = df.where(n >= 1).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / chunk).cast("bigint")))
+    )
+    spread = chunks.repartition(F.xxhash64(*[F.col(c) for c in df.columns], F.col("_chunk")))
+    lo = F.lit(first) + F.col("_chunk") * chunk
+    hi = F.least(F.lit(first) + n - 1, lo + chunk - 1)
+    return spread.withColumn(out_col, F.explode(F.sequence(lo, hi))).drop("_chunk")
+
+
 def spread_dates(activity: DataFrame, trips_per_item: int = TRIPS_PER_SERVICE) -> DataFrame:
     """Evenly spaced dates inside each vehicle's active span.
 
@@ -33,13 +54,13 @@ def spread_dates(activity: DataFrame, trips_per_item: int = TRIPS_PER_SERVICE) -
     """
     n = F.greatest(F.lit(1), F.floor(F.col("trip_count") / trips_per_item).cast("int"))
     days = F.floor(F.timestamp_diff("SECOND", F.col("first_trip"), F.col("last_trip")) / 86400).cast("bigint")
+    base = activity.select("vehicle_id", "vehicle_type", "first_trip", n.alias("_n"), days.alias("_days"))
     return (
-        activity.select("vehicle_id", "vehicle_type", "first_trip", n.alias("_n"), days.alias("_days"))
-        .select("*", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("seq"))
+        explode_range(base, "_n", "seq")
         .select(
             "vehicle_id",
             "vehicle_type",
-            "seq",
+            F.col("seq").cast("int").alias("seq"),
             F.date_add(
                 F.to_date("first_trip"), F.floor(F.col("_days") * F.col("seq") / (F.col("_n") + 1)).cast("int")
             ).alias("scheduled_date"),
@@ -57,17 +78,14 @@ def slot_times(trips: DataFrame, slots: DataFrame, default_slot_hours: float = D
     dur_us = cal.micros_between("departure_datetime", "arrival_datetime")
     slot_us = int(default_slot_hours * 3_600_000_000)
     joined = trips.select("trip_id", "departure_datetime", "arrival_datetime").join(slots, "trip_id")
-    expanded = joined.select(
-        "trip_id",
-        "departure_datetime",
-        "n",
-        F.coalesce(dur_us, F.col("n") * slot_us).alias("_span"),
-        F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("slot"),
+    spans = joined.select(
+        "trip_id", "departure_datetime", "n", F.coalesce(dur_us, F.col("n") * slot_us).alias("_span")
     )
+    expanded = explode_range(spans, "n", "slot", first=0)
     offset = F.expr("((2 * slot + 1) * _span) div (2 * n)")
     return expanded.select(
         "trip_id",
-        "slot",
+        F.col("slot").cast("int").alias("slot"),
         "n",
         F.timestamp_add("MICROSECOND", offset, F.col("departure_datetime")).alias("slot_datetime"),
     )

@@ -20,7 +20,6 @@ from parcelflow.functions import metrics as m
 from parcelflow.operators import expansion, fact, integrity, keys, quality, reports, scans
 from parcelflow.operators.etl import add_group_size
 from parcelflow.plans.first_load import FirstLoad, customers_after_two_loads
-from parcelflow.session import ensure_checkpoint_dir
 from parcelflow.sources.driver_tables import DEFAULT_AS_OF, fleet_tables_from_driver_data
 from parcelflow.sources.tables import FleetTables
 
@@ -189,7 +188,6 @@ def bind(fn: TableQuery) -> Callable[[SparkSession, str], DataFrame]:
     """Turn a table query into ``(spark, sf_dir) -> DataFrame``."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ensure_checkpoint_dir(spark)
         return fn(fleet_tables_from_driver_data(spark, sf_dir))
 
     return run

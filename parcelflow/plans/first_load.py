@@ -19,6 +19,7 @@ from parcelflow import schemas
 from parcelflow.functions import calendar as cal
 from parcelflow.operators import dimensions as dims
 from parcelflow.operators import etl, fact
+from parcelflow.session import ensure_checkpoint_dir
 from parcelflow.sources.tables import FleetTables
 
 
@@ -66,6 +67,7 @@ class FirstLoad:
         """
 
         def build() -> DataFrame:
+            ensure_checkpoint_dir(self.spark)
             extracted = self.extracted().checkpoint(eager=True)
             return etl.transform_all(extracted, self.as_of).checkpoint(eager=True)
 

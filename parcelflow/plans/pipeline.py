@@ -76,6 +76,13 @@ def _date_key_range(staged: DataFrame) -> tuple[int | None, int | None]:
     return row["lo"], row["hi"]
 
 
+def _observed_batch(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Rows and the scheduled date-key range of a batch, gathered while it is staged."""
+    obs = Observation("transform")
+    key = cal.date_key("scheduled_datetime")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), F.min(key).alias("lo"), F.max(key).alias("hi")), obs
+
+
 def load_facts(
     wh: Warehouse,
     staged: DataFrame,
@@ -83,10 +90,11 @@ def load_facts(
     batch_id: int,
     load_ts: _dt.datetime,
     idempotent: bool = True,
+    key_range: tuple[int | None, int | None] | None = None,
 ) -> tuple[int, int | None, int | None]:
     """Append the batch's fact rows partitioned by ``date_key``; return rows loaded."""
     rows = fact.fact_rows(staged, maps, batch_id)
-    lo, hi = _date_key_range(staged)
+    lo, hi = key_range if key_range is not None else _date_key_range(staged)
     if idempotent and lo is not None:
         loaded = wh.read("fact_deliveries").where(F.col("date_key").between(lo, hi))
         rows = rows.join(loaded.select("date_key", "delivery_id"), ["date_key", "delivery_id"], "left_anti")
@@ -146,13 +154,18 @@ def run_pipeline(
     # per-trip sizes) and must not run the join chain twice.
     extracted = stage_overwrite(extracted, f"{wh.stage_path(batch)}/extract")
     metrics.records_extracted = _rows(obs_extract, extracted.count)
-    transformed, obs_transform = _observed(etl.transform_all(extracted, ref), "transform")
+    transformed, obs_transform = _observed_batch(etl.transform_all(extracted, ref))
     staged = stage_overwrite(transformed, f"{wh.stage_path(batch)}/transformed")
     metrics.records_transformed = _rows(obs_transform, staged.count)
+    try:
+        seen = obs_transform.get
+        key_range = (seen.get("lo"), seen.get("hi"))
+    except Exception:  # recomputed from the stage by load_facts
+        key_range = None
 
     if metrics.records_transformed:
         maps = load_dimensions(wh, staged, ref)
-        metrics.records_loaded, lo, hi = load_facts(wh, staged, maps, batch, stamp, idempotent)
+        metrics.records_loaded, lo, hi = load_facts(wh, staged, maps, batch, stamp, idempotent, key_range)
         load_daily_totals(wh, batch, lo, hi)
 
     audit = spark.createDataFrame([tuple(asdict(metrics).values())], schemas.BATCH_METRICS)

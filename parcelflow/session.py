@@ -49,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value
     always wins. Only a bare local session (tests) gets a fresh scratch
-    folder of its own.
+    folder of its own; a cluster session without the setting is an error,
+    because a machine-local folder would not survive a lost executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
         configured = tempfile.mkdtemp(prefix="parcelflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -114,3 +114,12 @@ def test_vehicle_activity(spark):
     t = violating_fleet(spark)
     r = quality.vehicle_activity(t.trips, t.vehicles).where(F.col("vehicle_id") == 1).first()
     assert r.trip_count == 4 and r.first_trip == TS(2026, 1, 2)
+
+
+def test_explode_range_chunks_large_counts(spark):
+    df = spark.createDataFrame([(1, 25), (2, 3), (3, 0)], "k bigint, n bigint")
+    out = expansion.explode_range(df, "n", "i", first=1, chunk=4)
+    got = sorted((r.k, r.i) for r in out.collect())
+    assert got == [(1, i) for i in range(1, 26)] + [(2, 1), (2, 2), (2, 3)]
+    # chunk rows are redistributed before the big expansion
+    assert "Exchange hashpartitioning(xxhash64" in out._jdf.queryExecution().executedPlan().toString()
