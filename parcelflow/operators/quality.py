@@ -157,3 +157,51 @@ def summary_report(t: FleetTables, report: DataFrame, generated_on: _dt.date | s
         F.map_from_entries(F.collect_list(entry)).alias("table_counts"),
         F.bool_and("ok").alias("validations_passed"),
     )
+
+
+# Declared primary keys of the dimensions and the fact's
+# foreign keys (fact column, dimension, dimension column).
+DIMENSION_KEYS = [
+    ("dim_date", "date_key"),
+    ("dim_time", "time_key"),
+    ("dim_vehicle", "vehicle_key"),
+    ("dim_driver", "driver_key"),
+    ("dim_route", "route_key"),
+    ("dim_customer", "customer_key"),
+]
+FACT_FOREIGN_KEYS = [
+    ("date_key", "dim_date", "date_key"),
+    ("scheduled_time_key", "dim_time", "time_key"),
+    ("delivered_time_key", "dim_time", "time_key"),
+    ("vehicle_key", "dim_vehicle", "vehicle_key"),
+    ("driver_key", "dim_driver", "driver_key"),
+    ("route_key", "dim_route", "route_key"),
+    ("customer_key", "dim_customer", "customer_key"),
+]
+
+
+def star_schema_report(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Key checks Spark does not enforce: one row per declared key.
+
+    ``primary_key`` rows count surplus rows of duplicated dimension keys;
+    ``foreign_key`` rows count fact rows whose key has no dimension row.
+    """
+    rows = []
+    for table, key in DIMENSION_KEYS:
+        rows.append(
+            dq_key_unique(dims[table], [key]).select(
+                F.lit(table).alias("table_name"), F.lit(key).alias("key_column"),
+                F.lit("primary_key").alias("check_kind"), F.col("surplus_rows").alias("violations"),
+            )
+        )
+    for column, table, key in FACT_FOREIGN_KEYS:
+        rows.append(
+            dq_fk(fact, dims[table], column, key).select(
+                F.lit("fact_deliveries").alias("table_name"), F.lit(column).alias("key_column"),
+                F.lit("foreign_key").alias("check_kind"), F.col("violations").cast("bigint").alias("violations"),
+            )
+        )
+    report = rows[0]
+    for r in rows[1:]:
+        report = report.unionByName(r)
+    return report

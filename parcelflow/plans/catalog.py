@@ -95,6 +95,15 @@ def _fk_check(t: FleetTables) -> DataFrame:
     return quality.dq_fk(load.fact(), load.dim_customer(), "customer_key")
 
 
+def _star_schema(t: FleetTables) -> DataFrame:
+    load = _load(t)
+    dims = {
+        "dim_date": load.dim_date(), "dim_time": load.dim_time(), "dim_vehicle": load.dim_vehicle(),
+        "dim_driver": load.dim_driver(), "dim_route": load.dim_route(), "dim_customer": load.dim_customer(),
+    }
+    return quality.star_schema_report(load.fact(), dims)
+
+
 def _slots(t: FleetTables) -> DataFrame:
     per_trip = t.deliveries.groupBy("trip_id").agg(F.count(F.lit(1)).alias("n"))
     return expansion.slot_times(t.trips, per_trip)
@@ -136,6 +145,7 @@ QUALITY: dict[str, TableQuery] = {
     "dq_report": lambda t: quality.dq_report(t),
     "dq_key_unique": lambda t: quality.dq_key_unique(t.deliveries, ["delivery_id"]),
     "dq_fk": _fk_check,
+    "dq_star_schema": _star_schema,
     "table_count": lambda t: quality.table_count(t),
     "deliveries_per_trip_stats": lambda t: quality.deliveries_per_trip_stats(t.deliveries),
     "vehicle_activity": lambda t: quality.vehicle_activity(t.trips, t.vehicles),

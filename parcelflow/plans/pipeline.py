@@ -171,3 +171,11 @@ def run_pipeline(
     audit = spark.createDataFrame([tuple(asdict(metrics).values())], schemas.BATCH_METRICS)
     wh.append("etl_batch_metrics", audit)
     return metrics
+
+
+def warehouse_key_report(wh: Warehouse) -> DataFrame:
+    """Primary- and foreign-key checks over the persisted star schema."""
+    from parcelflow.operators.quality import DIMENSION_KEYS, star_schema_report
+
+    dims = {table: wh.read(table) for table, _ in DIMENSION_KEYS}
+    return star_schema_report(wh.read("fact_deliveries"), dims)

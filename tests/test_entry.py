@@ -17,7 +17,7 @@ def test_entry_runs_on_smoke_data(spark):
 def test_every_oracle_has_a_query():
     qs, oracle = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(oracle) <= set(qs)
-    assert len(qs) >= 58
+    assert len(qs) >= 59
     missing = set(qs) - set(oracle)
     assert missing == {"summary_report"}
 

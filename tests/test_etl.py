@@ -128,6 +128,9 @@ def test_pipeline_idempotent_and_totals_replaced(spark, scratch):
     assert cust == [("Ana", 1), ("Caro", 2), ("Dora", 3)]
     audit = sorted(r.etl_batch_id for r in wh.read("etl_batch_metrics").collect())
     assert audit == [7, 7, 8]
+    from parcelflow.plans.pipeline import warehouse_key_report
+
+    assert sum(r.violations for r in warehouse_key_report(wh).collect()) == 0
 
 
 def test_daily_totals_round_half_up(spark):

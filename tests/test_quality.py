@@ -123,3 +123,24 @@ def test_explode_range_chunks_large_counts(spark):
     assert got == [(1, i) for i in range(1, 26)] + [(2, 1), (2, 2), (2, 3)]
     # chunk rows are redistributed before the big expansion
     assert "Exchange hashpartitioning(xxhash64" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_star_schema_report_flags_duplicates_and_orphans(spark):
+    dims = {
+        "dim_date": spark.createDataFrame([(20260101,), (20260101,)], "date_key int"),
+        "dim_time": spark.createDataFrame([(800,)], "time_key int"),
+        "dim_vehicle": spark.createDataFrame([(1,)], "vehicle_key bigint"),
+        "dim_driver": spark.createDataFrame([(1,)], "driver_key bigint"),
+        "dim_route": spark.createDataFrame([(1,)], "route_key bigint"),
+        "dim_customer": spark.createDataFrame([(1,)], "customer_key bigint"),
+    }
+    fact = spark.createDataFrame(
+        [(20260101, 800, 900, 1, 1, 1, 2)],
+        "date_key int, scheduled_time_key int, delivered_time_key int, vehicle_key bigint, "
+        "driver_key bigint, route_key bigint, customer_key bigint",
+    )
+    got = {(r.table_name, r.key_column): r.violations for r in quality.star_schema_report(fact, dims).collect()}
+    assert got[("dim_date", "date_key")] == 1
+    assert got[("fact_deliveries", "delivered_time_key")] == 1
+    assert got[("fact_deliveries", "customer_key")] == 1
+    assert sum(got.values()) == 3 and len(got) == 13
