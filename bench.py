@@ -56,7 +56,8 @@ def headline_queries(t):
         "min_load_by_type": lambda: integrity.min_load_by_type(t.trips, t.vehicles),
         "dq_report": lambda: quality.dq_report(t),
         "extract_transform": lambda: etl.transform_all(
-            etl.extract_daily(t.deliveries, t.trips, t.routes, t.vehicles, t.drivers, AS_OF), AS_OF
+            etl.extract_daily(t.deliveries, t.trips, t.routes, t.vehicles, t.drivers, AS_OF, with_trip_sizes=True),
+            AS_OF,
         ),
     }
 

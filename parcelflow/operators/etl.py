@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import calendar as cal
@@ -35,6 +35,15 @@ DERIVED_COLUMNS = [
 ]
 
 
+def _kept_by_transform() -> Column:
+    """The transform's row filters, all on delivery columns."""
+    return (
+        F.col("delivered_datetime").isNotNull()
+        & F.col("scheduled_datetime").isNotNull()
+        & m.weight_in_range("package_weight_kg")
+    )
+
+
 def extract_daily(
     deliveries: DataFrame,
     trips: DataFrame,
@@ -43,6 +52,7 @@ def extract_daily(
     drivers: DataFrame,
     as_of: _dt.date | str,
     days: int = 90,
+    with_trip_sizes: bool = False,
 ) -> DataFrame:
     """Denormalised deliveries of the last ``days`` days (35 columns).
 
@@ -50,6 +60,15 @@ def extract_daily(
     (the one big-to-big join, hash-partitioned on the key), routes and
     vehicles are inner lookups and drivers a left lookup, all small
     dimensions the planner broadcasts by size.
+
+    ``with_trip_sizes=True`` adds ``deliveries_in_trip``, the transform's
+    per-trip count, computed on the deliveries side before the big join:
+    the transform only drops rows by delivery columns, and a trip's route
+    and vehicle keep or drop all its rows together, so counting the
+    deliveries that pass the transform's filters per trip gives the same
+    number. The partial counts join trips on ``trip_id`` like the
+    deliveries do, so no extra shuffle of the batch is needed (none at all
+    when deliveries and trips are co-bucketed on ``trip_id``).
     """
     since = cal.days_before(as_of, days)
     d = deliveries.where(F.col("delivered_datetime") >= F.lit(since)).select(
@@ -73,12 +92,19 @@ def extract_daily(
         "driver_id", "first_name", "last_name", "hire_date", "employee_code", "license_number",
         "license_expiry", "phone", F.col("status").alias("driver_status"),
     )
+    extra: list[str] = []
+    if with_trip_sizes:
+        sizes = d.where(_kept_by_transform()).groupBy("trip_id").agg(
+            F.count(F.lit(1)).alias("deliveries_in_trip")
+        )
+        t = t.join(sizes, "trip_id", "left")
+        extra = ["deliveries_in_trip"]
     return (
         d.join(t, "trip_id")
         .join(r, "route_id")
         .join(v, "vehicle_id")
         .join(dr, "driver_id", "left")
-        .select(*EXTRACT_COLUMNS)
+        .select(*EXTRACT_COLUMNS, *extra)
     )
 
 
@@ -97,7 +123,11 @@ def add_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def transform_all(extracted: DataFrame, as_of: _dt.date | str) -> DataFrame:
-    """Derive the delivery metrics of the fact table from the extract."""
+    """Derive the delivery metrics of the fact table from the extract.
+
+    Uses ``deliveries_in_trip`` when the extract already carries it
+    (``extract_daily(..., with_trip_sizes=True)``), else counts it here.
+    """
     df = extracted.dropna(subset=["delivered_datetime", "scheduled_datetime"])
     minutes = m.round_even(cal.minutes_between("scheduled_datetime", "delivered_datetime"), 2)
     df = df.withColumn("delivery_time_minutes", minutes.cast("decimal(12,2)"))
@@ -109,7 +139,8 @@ def transform_all(extracted: DataFrame, as_of: _dt.date | str) -> DataFrame:
     hours = m.round_even(cal.hours_between("departure_datetime", "arrival_datetime"), 2).cast("decimal(10,2)")
     df = df.withColumn("trip_duration_hours", m.zero_to_null(hours))
     df = df.withColumn("fuel_consumed_liters", m.zero_to_null("fuel_consumed_liters"))
-    df = add_group_size(df, "trip_id", "deliveries_in_trip")
+    if "deliveries_in_trip" not in df.columns:  # not precomputed by the extract
+        df = add_group_size(df, "trip_id", "deliveries_in_trip")
     ref = cal.as_date(as_of)
     df = df.withColumns(
         {

@@ -165,3 +165,27 @@ def test_hot_trip_with_a_third_of_rows(spark):
     assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
     deduped = keys.dedupe_keep_first(t.deliveries, ["trip_id"], ["scheduled_datetime", "delivery_id"])
     assert {r.trip_id: r.delivery_id for r in deduped.collect()}[1] == 1
+
+
+def test_trip_sizes_from_extract_match_counting_after_transform(spark):
+    from parcelflow.sources.driver_tables import fleet_tables_from_driver_data
+
+    t = fleet_tables_from_driver_data(spark, "/root/testdata/sf0.001")
+    as_of = dt.date(2001, 9, 1)
+    plain = etl.transform_all(
+        etl.extract_daily(t.deliveries, t.trips, t.routes, t.vehicles, t.drivers, as_of), as_of
+    )
+    fused = etl.transform_all(
+        etl.extract_daily(t.deliveries, t.trips, t.routes, t.vehicles, t.drivers, as_of, with_trip_sizes=True),
+        as_of,
+    )
+    assert plain.columns == fused.columns
+    assert plain.count() == fused.count() > 0
+    assert plain.exceptAll(fused).count() == 0 and fused.exceptAll(plain).count() == 0
+    # and on the hand-made fleet with a zero-weight row and a driverless trip
+    small = small_fleet(spark)
+    a = etl.transform_all(etl.extract_daily(small.deliveries, small.trips, small.routes, small.vehicles,
+                                            small.drivers, AS_OF), AS_OF)
+    b = etl.transform_all(etl.extract_daily(small.deliveries, small.trips, small.routes, small.vehicles,
+                                            small.drivers, AS_OF, with_trip_sizes=True), AS_OF)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

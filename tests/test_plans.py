@@ -75,6 +75,13 @@ def test_bucketed_tables_join_without_shuffle(spark):
         joined = t.deliveries.join(t.trips, "trip_id")
         assert "hashpartitioning(trip_id" not in plan_of(joined).lower()
         assert joined.count() == t.deliveries.count()
+        # the pipeline's extract + transform, with per-trip sizes counted on the buckets
+        batch = etl.transform_all(
+            etl.extract_daily(t.deliveries, t.trips, t.routes, t.vehicles, t.drivers, AS_OF, with_trip_sizes=True),
+            AS_OF,
+        )
+        batch.count()
+        assert "hashpartitioning(trip_id" not in plan_of(batch).lower()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
