@@ -61,14 +61,17 @@ class FirstLoad:
     def transformed(self) -> DataFrame:
         """The transformed batch, checkpointed like the pipeline's stage.
 
-        The extract is checkpointed first (the transform reads it twice),
-        then the result (six dimensions and the fact read it), both into
-        the session's reliable checkpoint folder.
+        Built as the pipeline builds it (per-trip sizes counted with the
+        extract) and checkpointed into the session's reliable checkpoint
+        folder, because the six dimensions and the fact all read it.
         """
 
         def build() -> DataFrame:
             ensure_checkpoint_dir(self.spark)
-            extracted = self.extracted().checkpoint(eager=True)
+            t = self.t
+            extracted = etl.extract_daily(
+                t.deliveries, t.trips, t.routes, t.vehicles, t.drivers, self.as_of, with_trip_sizes=True
+            )
             return etl.transform_all(extracted, self.as_of).checkpoint(eager=True)
 
         return self._get("transformed", build)
