@@ -91,8 +91,17 @@ def hours_between(start: Column | str, end: Column | str) -> Column:
 
 
 def month_trunc(ts: Column | str) -> Column:
-    """``date_trunc('month', ts)`` kept as TIMESTAMP_NTZ (Spark returns a zoned one)."""
-    return F.date_trunc("MONTH", _c(ts)).cast("timestamp_ntz")
+    """``date_trunc('month', ts)`` as TIMESTAMP_NTZ, independent of the session time zone.
+
+    Truncates the calendar date (``trunc``) instead of ``date_trunc``, which
+    returns a zoned timestamp and goes through the session zone.
+    """
+    return F.trunc(F.to_date(_c(ts)), "month").cast("timestamp_ntz")
+
+
+def ntz_literal(value: _dt.datetime) -> Column:
+    """A TIMESTAMP_NTZ literal that no time zone can shift (built from text)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def weekday_name_pg(ts: Column | str) -> Column:

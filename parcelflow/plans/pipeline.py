@@ -100,7 +100,7 @@ def load_facts(
         rows = rows.join(loaded.select("date_key", "delivery_id"), ["date_key", "delivery_id"], "left_anti")
     # Range-partition on (date_key, delivery_id): each task writes a few
     # adjacent date partitions (few files) and a hot date spans several tasks.
-    rows = rows.withColumn("etl_timestamp", F.lit(load_ts).cast("timestamp_ntz")).repartitionByRange(
+    rows = rows.withColumn("etl_timestamp", cal.ntz_literal(load_ts)).repartitionByRange(
         "date_key", "delivery_id"
     )
     rows, obs = _observed(rows, "fact_rows")
@@ -112,7 +112,7 @@ def load_facts(
         written = wh.read("fact_deliveries").where(
             F.col("date_key").between(lo, hi)
             & (F.col("etl_batch_id") == int(batch_id))
-            & (F.col("etl_timestamp") == F.lit(load_ts).cast("timestamp_ntz"))
+            & (F.col("etl_timestamp") == cal.ntz_literal(load_ts))
         )
         return written.count()
 

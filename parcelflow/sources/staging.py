@@ -7,6 +7,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelflow.functions import calendar as cal
+
 
 def stage_raw_json(df: DataFrame, load_ts: _dt.datetime | None = None) -> DataFrame:
     """Each row of ``df`` as one VARIANT value plus its load timestamp.
@@ -15,7 +17,7 @@ def stage_raw_json(df: DataFrame, load_ts: _dt.datetime | None = None) -> DataFr
     column DEFAULT of the current timestamp.
     """
     raw = F.parse_json(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    stamp = F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
+    stamp = cal.ntz_literal(load_ts) if load_ts is not None else F.localtimestamp()
     return df.select(raw.alias("raw_data"), stamp.alias("load_timestamp"))
 
 
