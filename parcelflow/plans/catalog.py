@@ -12,7 +12,6 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from parcelflow.functions import calendar as cal
@@ -149,7 +148,7 @@ QUALITY: dict[str, TableQuery] = {
     "table_count": lambda t: quality.table_count(t),
     "deliveries_per_trip_stats": lambda t: quality.deliveries_per_trip_stats(t.deliveries),
     "vehicle_activity": lambda t: quality.vehicle_activity(t.trips, t.vehicles),
-    "batch_count": lambda t: fact.batch_count(_load(t).fact(), _load(t).batch_id),
+    "batch_count": lambda t: (lambda load: fact.batch_count(load.fact(), load.batch_id))(_load(t)),
     "summary_report": lambda t: quality.summary_report(t, quality.dq_report(t), AS_OF),
 }
 
