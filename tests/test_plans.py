@@ -85,3 +85,35 @@ def test_bucketed_tables_join_without_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_hot_trip_join_is_split_by_adaptive_execution(spark):
+    """A trip with a third of all deliveries: AQE splits its join partition."""
+    from pyspark.sql import functions as F
+
+    n = 60_000
+    deliveries = spark.range(n).select(
+        F.col("id").alias("delivery_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("trip_id"),
+        F.lpad(F.col("id").cast("string"), 40, "x").alias("payload"),
+    )
+    trips = spark.range(n).select(F.col("id").alias("trip_id"), (F.col("id") % 7).alias("route_id"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = deliveries.join(trips, "trip_id").select("delivery_id")
+        assert len(joined.collect()) == n  # runs this DataFrame's own adaptive plan
+        final = joined._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final
+        assert "skew=true" in final
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
