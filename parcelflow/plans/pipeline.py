@@ -100,6 +100,8 @@ def load_facts(
         rows = rows.join(loaded.select("date_key", "delivery_id"), ["date_key", "delivery_id"], "left_anti")
     # Range-partition on (date_key, delivery_id): each task writes a few
     # adjacent date partitions (few files) and a hot date spans several tasks.
+    # This shuffle comes after the anti-join, so in steady state (a daily run
+    # re-extracts 90 days, ~89 of them already loaded) it moves only new rows.
     rows = rows.withColumn("etl_timestamp", cal.ntz_literal(load_ts)).repartitionByRange(
         "date_key", "delivery_id"
     )
