@@ -58,8 +58,7 @@ def test_trend_growth_and_projection(spark):
         for _ in range(n):
             rows.append(trip(tid, arr=arrival))
             tid += 1
-    # A month with zero completed trips does not exist as a group: add an
-    # in-progress trip so March is present only through the lag chain.
+    # March has no trips at all, so it is no group: April's previous month is February.
     t = frame(spark, "trips", rows)
     got = {r.periodo: r for r in reports.trip_trend(t).collect()}
     assert set(got) == {"01 2026", "02 2026", "04 2026"}
@@ -71,8 +70,8 @@ def test_trend_growth_and_projection(spark):
     assert got["01 2026"].porcentaje_crecimiento is None
 
 
-def test_trend_zero_previous_gives_null(spark):
-    # Monthly counts 100, 150, 0, 10 as given directly to the window step.
+def test_trend_skips_month_without_completed_trips(spark):
+    # Monthly counts 100, 150, 0 (one in-progress trip only), 10.
     df = spark.createDataFrame(
         [(dt.datetime(2026, m, 1), n) for m, n in zip((1, 2, 3, 4), (100, 150, 0, 10))],
         "arrival_datetime timestamp_ntz, n bigint",
@@ -138,3 +137,42 @@ def test_integrity_queries(spark):
     assert [r.trip_id for r in integrity.filter_time_order(t.trips).collect()] == [4]
     pair = integrity.filter_route_pair(t.routes, "Bogotá", "Barranquilla").collect()
     assert [r.route_code for r in pair] == ["R002"]
+
+
+def test_monthly_average_groups_by_month_number_only(spark):
+    """T4: the same month of two years is one group (as in the reference)."""
+    t = tables(
+        spark,
+        drivers=[driver(1)],
+        trips=[trip(1, did=1)],
+        deliveries=[
+            delivery(1, delivered=TS(2025, 11, 5, 9)),
+            delivery(2, delivered=TS(2026, 11, 5, 9)),
+            delivery(3, delivered=TS(2026, 10, 5, 9)),
+        ],
+    )
+    r = reports.avg_monthly_deliveries(t.deliveries, t.trips, t.drivers, AS_OF, months=24).first()
+    # month 11 has 2 deliveries (two years), month 10 has 1: mean 1.5
+    assert r.prom_entregas == D("1.50")
+
+
+def test_maintenance_report_drops_vehicles_missing_either_side(spark):
+    """T19: a vehicle with trips but no maintenance (or the reverse) is not counted."""
+    t = tables(
+        spark,
+        vehicles=[vehicle(1), vehicle(2, vtype="Van"), vehicle(3, vtype="Van")],
+        routes=[route(1, distance="10.00")],
+        trips=[trip(1, vid=1), trip(2, vid=2)],
+        maintenance=[dict(maintenance_id=1, vehicle_id=1, cost=D("5.00")),
+                     dict(maintenance_id=2, vehicle_id=3, cost=D("7.00"))],
+    )
+    rows = reports.maintenance_cost_per_km(t.trips, t.routes, t.vehicles, t.maintenance).collect()
+    assert [(r.total_viajes, r.costo_total, r.total_km) for r in rows] == [(1, D("5.00"), D("10.00"))]
+
+
+def test_trend_orders_months_descending_with_explicit_nulls(spark):
+    """T5: months sort newest first; the first month has no previous value (NULL)."""
+    t = frame(spark, "trips", [trip(1, arr=TS(2026, 1, 3)), trip(2, arr=TS(2026, 2, 3)),
+                               trip(3, arr=TS(2026, 2, 4))])
+    got = [(r.periodo, r.viajes_mes_anterior) for r in reports.trip_trend(t).collect()]
+    assert got == [("02 2026", 1), ("01 2026", None)]
