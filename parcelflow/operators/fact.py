@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import calendar as cal
-from parcelflow.operators.keys import broadcast_if_bounded
+from parcelflow.operators.keys import broadcast_all_if_bounded
 
 # Fixed value: the fact's 23 loaded columns, in order.
 FACT_COLUMNS = [
@@ -36,17 +36,16 @@ def fact_rows(
 
     Each lookup is an inner join (lookup + drop of unresolved rows). A map
     is broadcast only after a row-count check under its bound
-    (``LOOKUP_BROADCAST_ROWS``); a larger one joins by shuffle.
+    (``LOOKUP_BROADCAST_ROWS``, all four counted in one job); a larger one
+    joins by shuffle.
     """
 
-    def lookup(name: str) -> DataFrame:
-        return broadcast_if_bounded(maps[name], LOOKUP_BROADCAST_ROWS[name]) if check_sizes else maps[name]
-
+    lookups = broadcast_all_if_bounded(maps, LOOKUP_BROADCAST_ROWS) if check_sizes else maps
     df = (
-        transformed.join(lookup("vehicle"), "vehicle_id")
-        .join(lookup("driver"), "driver_id")
-        .join(lookup("route"), "route_id")
-        .join(lookup("customer"), "customer_name")
+        transformed.join(lookups["vehicle"], "vehicle_id")
+        .join(lookups["driver"], "driver_id")
+        .join(lookups["route"], "route_id")
+        .join(lookups["customer"], "customer_name")
     )
     df = df.withColumns(
         {

@@ -86,6 +86,26 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return df
 
 
+def broadcast_all_if_bounded(frames: dict[str, DataFrame], bounds: dict[str, int]) -> dict[str, DataFrame]:
+    """:func:`broadcast_if_bounded` for several frames with one counting job.
+
+    Each frame contributes ``count`` of at most ``bound + 1`` rows to one
+    small union that is collected once (one row per frame).
+    """
+    names = list(frames)
+    counts = None
+    for name in names:
+        one = frames[name].limit(bounds[name] + 1).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("name"), "n"
+        )
+        counts = one if counts is None else counts.unionByName(one)
+    seen = {row["name"]: row["n"] for row in counts.collect()} if counts is not None else {}
+    return {
+        name: F.broadcast(df) if seen.get(name, bounds[name] + 1) <= bounds[name] else df
+        for name, df in frames.items()
+    }
+
+
 def lookup_symmetric_default(
     df: DataFrame,
     a: str,

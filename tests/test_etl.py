@@ -189,3 +189,10 @@ def test_trip_sizes_from_extract_match_counting_after_transform(spark):
     b = etl.transform_all(etl.extract_daily(small.deliveries, small.trips, small.routes, small.vehicles,
                                             small.drivers, AS_OF, with_trip_sizes=True), AS_OF)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_broadcast_all_if_bounded_checks_each_frame(spark):
+    frames = {"small": spark.range(3), "big": spark.range(100)}
+    out = keys.broadcast_all_if_bounded(frames, {"small": 10, "big": 10})
+    plan = lambda df: df._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" in plan(out["small"]) and "broadcast" not in plan(out["big"])
