@@ -52,6 +52,11 @@ class FleetTables:
     def maintenance(self) -> DataFrame:
         return self.table("maintenance")
 
+    def register_views(self, prefix: str = "") -> None:
+        """Expose the six tables as temp views (``vehicles``, ``trips``, ...) for SQL users."""
+        for name in TABLE_NAMES:
+            self.table(name).createOrReplaceTempView(f"{prefix}{name}")
+
     @classmethod
     def from_frames(cls, **frames: DataFrame) -> "FleetTables":
         return cls({name: (lambda df=df: df) for name, df in frames.items()})

@@ -82,3 +82,14 @@ def test_fleet_tables_from_frames(spark):
     t = fleet_tables_from_driver_data(spark, SF_SMALL)
     copy = FleetTables.from_frames(**{n: t.table(n) for n in schemas.OLTP})
     assert copy.routes.count() == 25
+
+
+def test_register_views_for_sql_users(spark):
+    from parcelflow.operators import reports
+
+    t = fleet_tables_from_driver_data(spark, SF_SMALL)
+    t.register_views()
+    sql = spark.sql(
+        "SELECT vehicle_type, count(vehicle_id) AS num_vehiculos FROM vehicles GROUP BY vehicle_type"
+    )
+    assert sorted(sql.collect()) == sorted(reports.vehicles_by_type(t.vehicles).collect())
