@@ -69,8 +69,9 @@ def fleet_tables_from_jdbc(
 
     ``ranges`` gives (lower id, upper id, partitions) for the tables worth
     splitting (trips, deliveries); the others are read in one task. Column
-    types are conformed to the declared schemas, and Spark pushes filters
-    (such as the extract's date window) down to the database.
+    types are conformed to the declared schemas; on columns whose database
+    type already matches (no cast needed), Spark pushes filters such as the
+    extract's date window down to the database.
     """
     from parcelflow import schemas
     from parcelflow.sources.tables import TABLE_NAMES, FleetTables
