@@ -196,3 +196,27 @@ def test_broadcast_all_if_bounded_checks_each_frame(spark):
     out = keys.broadcast_all_if_bounded(frames, {"small": 10, "big": 10})
     plan = lambda df: df._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" in plan(out["small"]) and "broadcast" not in plan(out["big"])
+
+
+def test_rerun_after_a_failed_batch_leaves_no_duplicates(spark, scratch, monkeypatch):
+    import pytest
+
+    import parcelflow.plans.pipeline as pipeline
+
+    t = small_fleet(spark)
+    wh = Warehouse(spark, scratch)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("executor lost during the fact load")
+
+    monkeypatch.setattr(pipeline, "load_facts", broken)
+    with pytest.raises(RuntimeError):
+        pipeline.run_pipeline(spark, t, wh, AS_OF, batch_id=9)
+    monkeypatch.undo()
+    assert wh.read("dim_customer").count() == 2 and not wh.exists("fact_deliveries")
+
+    metrics = pipeline.run_pipeline(spark, t, wh, AS_OF, batch_id=9)
+    assert metrics.records_loaded == 2
+    assert wh.read("dim_customer").count() == 2  # no second copy of the dimension rows
+    assert sum(r.violations for r in pipeline.warehouse_key_report(wh).collect()) == 0
+    assert [(r.etl_batch_id, r.num_entregas) for r in wh.read("daily_totals").collect()] == [(9, 2)]
