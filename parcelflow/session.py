@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # remove reliable checkpoints (key numbering) once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
