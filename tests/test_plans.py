@@ -117,3 +117,22 @@ def test_hot_trip_join_is_split_by_adaptive_execution(spark):
     finally:
         for k in settings:
             spark.conf.unset(k)
+
+
+def test_bucketed_landing_writes_one_file_per_bucket(spark):
+    import glob
+    import os
+
+    from parcelflow import schemas
+    from parcelflow.sources import fleet_tables_from_catalog, write_fleet_catalog
+
+    write_fleet_catalog(spark, fleet_tables_from_driver_data(spark, SF_SMALL), "fleet_files", buckets=3)
+    t = fleet_tables_from_catalog(spark, "fleet_files")
+    for name, schema in schemas.OLTP.items():
+        assert [(f.name, f.dataType) for f in t.table(name).schema.fields] == [
+            (f.name, f.dataType) for f in schema.fields
+        ]
+    location = spark.sql("DESCRIBE TABLE EXTENDED fleet_files.deliveries").where("col_name = 'Location'").first()
+    folder = location.data_type.replace("file:", "")
+    files = [f for f in glob.glob(os.path.join(folder, "*.parquet"))]
+    assert len(files) == 3
