@@ -309,3 +309,21 @@ def hour_weekday_pivot(deliveries: DataFrame) -> DataFrame:
         .agg(*[F.count_if(dow == num).alias(name) for name, num in PIVOT_DAYS])
         .orderBy(F.asc_nulls_last("hora"))
     )
+
+
+def all_reports(t, as_of: _dt.date | str, lang: str = "en") -> dict[str, DataFrame]:
+    """The twelve reports over a :class:`~parcelflow.sources.tables.FleetTables`, by query number."""
+    return {
+        "q01_vehicles_by_type": vehicles_by_type(t.vehicles),
+        "q02_expiring_licenses": expiring_licenses(t.drivers, as_of),
+        "q03_trips_by_status": trips_by_status(t.trips),
+        "q04_deliveries_by_city": deliveries_by_city(t.deliveries, t.trips, t.routes, as_of),
+        "q05_completed_trips_by_driver": completed_trips_by_driver(t.drivers, t.trips),
+        "q06_avg_monthly_deliveries": avg_monthly_deliveries(t.deliveries, t.trips, t.drivers, as_of),
+        "q07_fuel_per_km": fuel_per_km(t.routes, t.trips),
+        "q08_late_by_weekday": late_by_weekday(t.deliveries),
+        "q09_maintenance_cost_per_km": maintenance_cost_per_km(t.trips, t.routes, t.vehicles, t.maintenance),
+        "q10_driver_ranking": driver_ranking(t.deliveries, t.trips, t.drivers, as_of, lang=lang),
+        "q11_trip_trend": trip_trend(t.trips),
+        "q12_hour_weekday_pivot": hour_weekday_pivot(t.deliveries),
+    }
