@@ -104,9 +104,15 @@ def route_inserts(staged: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def stage_customers(transformed: DataFrame) -> DataFrame:
-    """One row per customer name; the city is the destination of its first delivery."""
+    """One row per customer name; the city is the destination of its first delivery.
+
+    A NULL name is not staged: it could never match the existing dimension,
+    so it would be inserted again by every batch (and no fact row can use it).
+    """
     return dedupe_keep_first(
-        transformed.select("customer_name", "destination_city", *FIRST_ROW_ORDER),
+        transformed.where(F.col("customer_name").isNotNull()).select(
+            "customer_name", "destination_city", *FIRST_ROW_ORDER
+        ),
         ["customer_name"],
         FIRST_ROW_ORDER,
     ).select("customer_name", "destination_city")

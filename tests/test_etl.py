@@ -220,3 +220,10 @@ def test_rerun_after_a_failed_batch_leaves_no_duplicates(spark, scratch, monkeyp
     assert wh.read("dim_customer").count() == 2  # no second copy of the dimension rows
     assert sum(r.violations for r in pipeline.warehouse_key_report(wh).collect()) == 0
     assert [(r.etl_batch_id, r.num_entregas) for r in wh.read("daily_totals").collect()] == [(9, 2)]
+
+
+def test_null_customer_names_are_not_staged(spark):
+    t = small_fleet(spark, extra_deliveries=[delivery(15, tid=1, customer=None)])
+    load = FirstLoad(t, AS_OF)
+    names = sorted(r.customer_name for r in load.dim_customer().collect())
+    assert names == ["Ana", "Caro"]
