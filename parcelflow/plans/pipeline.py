@@ -1,8 +1,8 @@
 """The daily ETL run: extract -> transform -> stage -> dimensions -> fact -> totals.
 
 Spark form of the reference's batch job. The driver only plans and counts;
-executors do every join and write. Differences from the reference, all
-listed in SURVEY §5 traps:
+executors do every join and write. Differences from the reference (most are
+SURVEY §5 traps):
 
 * the transform's per-trip sizes are counted with the extract, before the
   big join, so extract and transform run as one plan; the transformed
