@@ -61,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
         configured = tempfile.mkdtemp(prefix="parcelflow-ckpt-")
     sc.setCheckpointDir(configured)
