@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import packing, token_counts
+from parcelflow.llm import packing, pii, quality_rules, token_counts, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": warc.op1_warc,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
+    "op5_url_filter": url_filter.op5_url_filter,
+    "op7_pii": pii.op7_pii,
+    "op8_quality_rules": quality_rules.op8_quality_rules,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_warc": warc.OP1_SQL, "op5_url_filter": url_filter.OP5_SQL}
 
 
 def queries() -> dict[str, Query]:
