@@ -3,9 +3,8 @@
 The list is hashed into a Bloom filter of 512-bit blocks (one bit in each of
 eight words), built with one partial ``bit_or`` per block. Every URL looks up
 its one block; URLs that miss a bit are surely not listed. Possible hits are
-joined with the list itself, so false positives go. The number of blocks
-follows the list up to ``MOST_BLOCKS``; beyond it the filter passes more false
-hits, never fewer true ones.
+joined with the list itself, so false positives go. The filter's size is bounded
+(see ``bloom``); a longer list makes more false hits, never fewer true ones.
 
 Cases: a null URL or one without ``://`` has an empty host and path, fits no
 rule and isn't listed; rules of equal length apply in the given order; rows of
@@ -20,6 +19,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelflow.llm.bloom import with_possible
 from parcelflow.llm.common import salted_left_join, stored, table
 
 # Verdict, host and path of the rules.
@@ -29,10 +29,6 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-WORDS = 8
-BITS_PER_URL = 16
-# 131,072 blocks of 8 words: 9.4 MB with their numbers
-MOST_BLOCKS = 1 << 17
 
 
 def host_and_path(url: str = "url") -> tuple[Column, Column]:
@@ -62,31 +58,6 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _bits(key: Column) -> list[Column]:
-    """The key's bit in each word of its block."""
-    mixed = F.xxhash64(key, F.lit(1))
-    return [
-        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(mixed, 6 * j).bitwiseAND(F.lit(63)).cast("int"))
-        for j in range(WORDS)
-    ]
-
-
-def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
-    """``block, w0 .. w7``: the blocked Bloom filter of column ``url_key``."""
-    bits = listed.select(
-        F.pmod(F.xxhash64("url_key"), F.lit(blocks)).cast("int").alias("block"),
-        *(b.alias(f"w{j}") for j, b in enumerate(_bits(F.col("url_key")))),
-    )
-    return bits.groupBy("block").agg(*(F.bit_or(f"w{j}").alias(f"w{j}") for j in range(WORDS)))
-
-
-def block_count(n: int) -> int:
-    blocks = 1
-    while blocks * 64 * WORDS < n * BITS_PER_URL and blocks < MOST_BLOCKS:
-        blocks *= 2
-    return blocks
-
-
 def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict, listed`` of ``pages`` (``page_id, url``).
 
@@ -94,23 +65,15 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     unless a rule says otherwise.
     """
     listed = stored(listed.where("url_key IS NOT NULL").select("url_key").distinct(), "listed-urls")
-    blocks = block_count(listed.count())
-    bloom = F.broadcast(bloom_blocks(listed, blocks))  # at most MOST_BLOCKS rows
     host, path = host_and_path()
     rule, judged = rule_of(F.col("host"), F.col("path"), rules)
     urls = (
         pages.select(F.col("page_id"), F.col("url"), host.alias("host"), path.alias("path"), canonical().alias("url_key"))
         .withColumn("rule", rule)
         .withColumn("judged", judged)
-        .withColumn("block", F.pmod(F.xxhash64("url_key"), F.lit(blocks)).cast("int"))
     )
-    possible = F.lit(True)
-    for j, bit in enumerate(_bits(F.col("url_key"))):
-        possible = possible & (F.col(f"w{j}").bitwiseAND(bit) != 0)
-    probed = urls.join(bloom, "block", "left").withColumn(
-        "possible", F.col("url_key").isNotNull() & F.coalesce(possible, F.lit(False))
-    ).select("page_id", "host", "path", "rule", "judged", "url_key", "possible")
-    surely_not = probed.where(~F.col("possible")).withColumn("listed", F.lit(False))
+    probed = with_possible(urls, "url_key", listed, "url_key").drop("url")
+    surely_not = probed.where("NOT possible").withColumn("listed", F.lit(False))
     exact = listed.withColumn("listed", F.lit(True))
     hits = salted_left_join(probed.where("possible"), exact, ["url_key"], "page_id")
     return (
