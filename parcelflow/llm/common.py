@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from parcelflow.session import ensure_checkpoint_dir
 
 # Text bytes that a Python worker handles at once. A longer text is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 SHINGLE_WORDS = 5
 
 

@@ -24,6 +24,7 @@ empty result.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,7 +42,8 @@ CAPACITY = 2048
 END_ID = 0
 RANK_SALTS = 64
 SLICES = (8, 1)
-KEPT_WORDS = 200_000
+# Distinct words, and runs of letters in them, whose ids a worker keeps between chunks; beyond it the memory starts anew.
+KEPT_WORDS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 RUNS = "band int, slice int, last boolean, kind string, size long, first long, n long"
 SWEPT = "kind string, size long, first long, n long, bin long, offset long, per_bin long"
@@ -57,24 +59,51 @@ class WordIds:
     """Token ids of texts, merged once per distinct word.
 
     The tokenizer drops white space and no token crosses it, so the ids of a
-    text are those of its ASCII-space separated words, one after the other.
+    text are those of its ASCII-space separated words, one after the other. Its
+    pre-tokenizer also parts a run of letters from the marks that follow, and it
+    lower-cases, so ``Word``, ``word`` and ``word,`` share the ids of ``word``.
+    Words of any other make go through the library as they are.
     """
 
+    # composed Latin letters, then marks; an apostrophe may start a contraction and is left out
+    plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&*+,./:;=?@^_~()\[\]-]*)").fullmatch
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}  # runs of letters in lower case
+        self.others: dict[str, bytes] = {"": b""}  # whole words
+
+    def _learn_letters(self, words: list[str]) -> None:
+        """Runs of letters, many in one call: each is one pre-token."""
+        for lo in range(0, len(words), 2000):
+            part = words[lo : lo + 2000]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            ends = np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1))
+            for i, w in enumerate(part):
+                self.letters[w] = ids[ends[i] : ends[i + 1]].tobytes()
+
+    def _learn_others(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.others[w] = np.array(e.ids, "<u4").tobytes()
 
     def _words(self, words: list[str]) -> list[bytes]:
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        return [self.known[w] for w in words]
+        if len(self.letters) > KEPT_WORDS:
+            self.letters = {}
+        if len(self.others) > KEPT_WORDS:
+            self.others = {"": b""}
+        others = self.others
+        new = [w for w in words if w not in others]
+        parts = [(w, m[1].lower(), m[2]) for w in new if (m := self.plain(w))]
+        plain = {w for w, _, _ in parts}
+        self._learn_letters(list({a for _, a, _ in parts if a not in self.letters}))
+        self._learn_others([w for w in new if w not in plain] + list({b for _, _, b in parts if b not in others}))
+        letters = self.letters
+        for w, a, b in parts:
+            others[w] = letters[a] + others[b]
+        return [others[w] for w in words]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (one more than texts) and the ids of all texts."""
@@ -84,11 +113,13 @@ class WordIds:
         codes = flat.indices.to_numpy()
         ids = self._words(flat.dictionary.to_pylist())
         vocab = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-        begin = np.cumsum(size) - size
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         per_word = size[codes]
         ends = np.concatenate(([0], np.cumsum(per_word)))
-        pick = np.repeat(begin[codes] - ends[:-1], per_word) + np.arange(ends[-1])
+        # the k-th id of a text chunk is that many places behind the vocabulary's id of the same word
+        shift = (np.cumsum(size) - size)[codes] - ends[:-1]
+        pick = np.arange(ends[-1], dtype=np.int32)
+        pick += np.repeat(shift.astype(np.int32), per_word)
         return ends[offsets - offsets[0]], vocab[pick]
 
 
