@@ -102,7 +102,8 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         long(F.regexp_count("_text", F.lit(r"\p{Lu}"))).alias("n_upper"),
         long(F.regexp_count("_text", F.lit(r"[!?.,;:]"))).alias("n_marks"),
     )
-    return step.select("_row", counts.alias("counts")).select("_row.*", "counts")
+    # filters on the counts stay above this explode of one; pushed down, they would count inside every lambda
+    return step.select("_row", F.explode(F.array(counts)).alias("counts")).select("_row.*", "counts")
 
 
 def base_failed(counts: str = "counts") -> Column:
