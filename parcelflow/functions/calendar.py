@@ -56,10 +56,15 @@ def months_before(as_of: _dt.date | str, months: int) -> _dt.date:
 
 
 def parse_datetime(col: Column | str, fmt: str | None = None) -> Column:
-    """Text (or a timestamp) to TIMESTAMP_NTZ; unparseable text gives NULL."""
+    """Text (or a timestamp) to TIMESTAMP_NTZ; unparseable text gives NULL.
+
+    The wall-clock time is kept in any session zone, also where it falls
+    into a zone's summer-time gap.
+    """
     c = _c(col).cast("string")
-    parsed = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
-    return parsed.cast("timestamp_ntz")
+    if fmt is None:
+        return c.try_cast("timestamp_ntz")
+    return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
 
 
 def pg_dow(ts: Column | str) -> Column:

@@ -203,10 +203,18 @@ def time_inserts(transformed: DataFrame, existing: DataFrame) -> DataFrame:
 def key_maps(
     dim_vehicle: DataFrame, dim_driver: DataFrame, dim_route: DataFrame, dim_customer: DataFrame
 ) -> dict[str, DataFrame]:
-    """Source id -> surrogate key lookups (current rows for vehicle and driver)."""
+    """Source id -> surrogate key lookups (current rows for vehicle and driver).
+
+    One row per source id, its smallest key, so a repeated dimension row
+    never multiplies facts.
+    """
+
+    def unique(dim: DataFrame, natural: str, key: str) -> DataFrame:
+        return dim.groupBy(natural).agg(F.min(key).alias(key))
+
     return {
-        "vehicle": dim_vehicle.where(F.col("is_current")).select("vehicle_id", "vehicle_key"),
-        "driver": dim_driver.where(F.col("is_current")).select("driver_id", "driver_key"),
-        "route": dim_route.select("route_id", "route_key"),
-        "customer": dim_customer.select("customer_name", "customer_key"),
+        "vehicle": unique(dim_vehicle.where(F.col("is_current")), "vehicle_id", "vehicle_key"),
+        "driver": unique(dim_driver.where(F.col("is_current")), "driver_id", "driver_key"),
+        "route": unique(dim_route, "route_id", "route_key"),
+        "customer": unique(dim_customer, "customer_name", "customer_key"),
     }

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions import calendar as cal
 from parcelflow.functions import metrics as m
+from parcelflow.operators.keys import join_group_values
 
 # Fixed value: the extract's 35 columns, in order.
 EXTRACT_COLUMNS = [
@@ -44,6 +45,11 @@ def _kept_by_transform() -> Column:
     )
 
 
+def kept_rows(deliveries: DataFrame) -> DataFrame:
+    """The deliveries that the transform keeps."""
+    return deliveries.where(_kept_by_transform())
+
+
 def extract_daily(
     deliveries: DataFrame,
     trips: DataFrame,
@@ -112,14 +118,13 @@ def add_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
     """Attach the number of rows sharing ``key`` to every row.
 
     Counted with an aggregate (partial on the map side) and joined back on
-    the key, rather than a window over the key: a key with a third of all
-    rows is then pre-reduced before its shuffle and AQE can split the
-    skewed join partition; a window would sort that whole group in one task.
+    the key and a salt, so a key with a third of all rows is spread over
+    ``HOT_KEY_SALTS`` tasks; a window would sort that whole group in one.
     Rows with a null key get a null size. ``df`` is read twice, so give it
     a stored input (the pipeline stages the extract) rather than a join chain.
     """
     sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    return df.join(sizes, key, "left")
+    return join_group_values(df, sizes, key)
 
 
 def transform_all(extracted: DataFrame, as_of: _dt.date | str) -> DataFrame:

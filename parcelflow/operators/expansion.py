@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions import calendar as cal
 from parcelflow.functions import metrics as m
+from parcelflow.operators.keys import join_group_values
 
 # Most rows one task expands in one go; bigger counts are split into chunks
 # that are spread over tasks before the expansion.
 EXPLODE_CHUNK = 100_000
 TRIPS_PER_SERVICE = 20
+# Fixed value: days from one service to the next.
+SERVICE_INTERVAL_DAYS = 90
 DEFAULT_SLOT_HOURS = 0.5
 ALLOCATED_SHARE = "0.95"
 MIN_SHARE = "0.5"
@@ -65,6 +68,7 @@ def spread_dates(activity: DataFrame, trips_per_item: int = TRIPS_PER_SERVICE) -
                 F.to_date("first_trip"), F.floor(F.col("_days") * F.col("seq") / (F.col("_n") + 1)).cast("int")
             ).alias("scheduled_date"),
         )
+        .withColumn("next_service_date", F.date_add("scheduled_date", SERVICE_INTERVAL_DAYS))
     )
 
 
@@ -104,15 +108,14 @@ def proportional_allocation(
 
     allocated = max(weight / sum(weight of group) x total x share, floor),
     rounded half-even to 2 places. The group sum is an aggregate joined back
-    on ``group_col`` (pre-reduced on the map side, so one huge group does not
-    sit in one task).
+    on ``group_col`` and a salt, so one huge group does not sit in one task.
     """
     sums = df.groupBy(group_col).agg(F.sum(weight_col).alias("_wsum"))
     raw = F.col(weight_col) * F.col(total_col) * F.lit(share).cast("decimal(3,2)") / F.nullif(
         F.col("_wsum"), F.lit(0)
     )
     alloc = F.greatest(m.round_even(raw, 2), F.lit(floor_value).cast("decimal(3,1)"))
-    return df.join(sums, group_col, "left").withColumn(out_col, alloc.cast("decimal(12,2)")).drop("_wsum")
+    return join_group_values(df, sums, group_col).withColumn(out_col, alloc.cast("decimal(12,2)")).drop("_wsum")
 
 
 def trip_status_as_of(trips: DataFrame, as_of: _dt.date | str) -> DataFrame:

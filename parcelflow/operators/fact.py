@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import calendar as cal
-from parcelflow.operators.keys import broadcast_all_if_bounded
 
 # Fixed value: the fact's 23 loaded columns, in order.
 FACT_COLUMNS = [
@@ -20,32 +19,21 @@ FACT_COLUMNS = [
     "is_on_time", "has_signature", "delivery_status", "etl_batch_id",
 ]
 
-# Row bounds under which a key map is broadcast. Vehicle, driver and route
-# maps are fleet-sized; customer names can grow with deliveries, so that map
-# gets a lower bound and otherwise joins by shuffle (AQE splits hot keys).
-LOOKUP_BROADCAST_ROWS = {"vehicle": 1_000_000, "driver": 1_000_000, "route": 1_000_000, "customer": 200_000}
-
 # Fixed value: customer type hidden from the sales view.
 HIDDEN_CUSTOMER_TYPE = "Gobierno"
 
 
-def fact_rows(
-    transformed: DataFrame, maps: dict[str, DataFrame], batch_id: int, check_sizes: bool = True
-) -> DataFrame:
+def fact_rows(transformed: DataFrame, maps: dict[str, DataFrame], batch_id: int) -> DataFrame:
     """Resolve surrogate keys and project the fact columns.
 
-    Each lookup is an inner join (lookup + drop of unresolved rows). A map
-    is broadcast only after a row-count check under its bound
-    (``LOOKUP_BROADCAST_ROWS``, all four counted in one job); a larger one
-    joins by shuffle.
+    Each lookup is an inner join (lookup + drop of unresolved rows) on a map
+    with one row per natural key. The planner and AQE choose how to join.
     """
-
-    lookups = broadcast_all_if_bounded(maps, LOOKUP_BROADCAST_ROWS) if check_sizes else maps
     df = (
-        transformed.join(lookups["vehicle"], "vehicle_id")
-        .join(lookups["driver"], "driver_id")
-        .join(lookups["route"], "route_id")
-        .join(lookups["customer"], "customer_name")
+        transformed.join(maps["vehicle"], "vehicle_id")
+        .join(maps["driver"], "driver_id")
+        .join(maps["route"], "route_id")
+        .join(maps["customer"], "customer_name")
     )
     df = df.withColumns(
         {
@@ -58,21 +46,21 @@ def fact_rows(
     return df.select(*FACT_COLUMNS)
 
 
-def daily_totals(fact: DataFrame, batch_id: int | None = None) -> DataFrame:
-    """Per (date_key, batch): rows, revenue, mean delivery minutes, on-time rate.
+def daily_totals(fact: DataFrame) -> DataFrame:
+    """Per date: rows, revenue, mean delivery minutes, on-time rate and the last batch that touched it.
 
     Means are taken as exact DECIMAL sum / count and rounded half up, so a
     large day cannot pick up a double-rounding error.
     """
-    rows = fact if batch_id is None else fact.where(F.col("etl_batch_id") == int(batch_id))
     on_time = F.when(F.col("is_on_time"), 1).otherwise(0).cast("decimal(20,0)")
     mean_minutes = F.sum("delivery_time_minutes") / F.count("delivery_time_minutes").cast("decimal(20,0)")
     rate = F.sum(on_time) / F.count(F.lit(1)).cast("decimal(20,0)")
-    return rows.groupBy("date_key", "etl_batch_id").agg(
+    return fact.groupBy("date_key").agg(
         F.count(F.lit(1)).alias("num_entregas"),
         F.sum("revenue_per_delivery").cast("decimal(18,2)").alias("total_revenue"),
         F.round(mean_minutes, 2).cast("decimal(18,2)").alias("avg_delivery_time"),
         F.round(rate, 2).cast("decimal(18,2)").alias("on_time_rate"),
+        F.max("etl_batch_id").alias("etl_batch_id"),
     ).select("date_key", "num_entregas", "total_revenue", "avg_delivery_time", "on_time_rate", "etl_batch_id")
 
 

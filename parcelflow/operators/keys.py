@@ -1,9 +1,9 @@
-"""Keys: deterministic dedupe, sequential surrogate keys, bounded broadcasts.
+"""Keys: deterministic dedupe, sequential surrogate keys, joins with group values.
 
 All three avoid funnelling one group or the whole input into a single task:
 dedupe is an aggregate with map-side partial results, key numbering works
-on range-partitioned slices with per-slice offsets, and a broadcast happens
-only after the side has been counted under a bound.
+on range-partitioned slices with per-slice offsets, and group values are
+joined back on the key and a salt.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.session import ensure_checkpoint_dir
 
-# Rows per dimension we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Tasks that share the rows of one key in ``join_group_values``.
+HOT_KEY_SALTS = 16
 
 
 def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -74,36 +74,17 @@ def assign_sequential_keys(
     )
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when it has at most ``max_rows`` rows.
+def join_group_values(df: DataFrame, groups: DataFrame, key: str, salts: int = HOT_KEY_SALTS) -> DataFrame:
+    """Left-join one narrow row per ``key`` to ``df``, a hot key spread over ``salts`` tasks.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the
-    frame is returned unchanged and the planner (with AQE) picks a
-    shuffle join instead.
+    AQE splits a skewed partition only where both sides of the join are
+    plain shuffles, and ``groups`` is an aggregate on the key. So its rows
+    are repeated once per salt and ``df`` is dealt out by key and salt.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def broadcast_all_if_bounded(frames: dict[str, DataFrame], bounds: dict[str, int]) -> dict[str, DataFrame]:
-    """:func:`broadcast_if_bounded` for several frames with one counting job.
-
-    Each frame contributes ``count`` of at most ``bound + 1`` rows to one
-    small union that is collected once (one row per frame).
-    """
-    names = list(frames)
-    counts = None
-    for name in names:
-        one = frames[name].limit(bounds[name] + 1).agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("name"), "n"
-        )
-        counts = one if counts is None else counts.unionByName(one)
-    seen = {row["name"]: row["n"] for row in counts.collect()} if counts is not None else {}
-    return {
-        name: F.broadcast(df) if seen.get(name, bounds[name] + 1) <= bounds[name] else df
-        for name, df in frames.items()
-    }
+    other = [F.col(c) for c in df.columns if c != key]
+    left = df.withColumn("_salt", F.pmod(F.xxhash64(*other), F.lit(salts)).cast("int"))
+    right = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, "_salt"], "left").drop("_salt")
 
 
 def lookup_symmetric_default(

@@ -50,9 +50,9 @@ def expiring_licenses(drivers: DataFrame, as_of: _dt.date | str, days: int = 60)
 
     There is no lower bound: already expired licences qualify too.
     """
-    ref = cal.as_date(as_of)
+    before = cal.as_date(as_of) + _dt.timedelta(days=days)  # a literal, so the filter reaches the scan
     return (
-        drivers.where((F.col("status") == ACTIVE) & (F.datediff("license_expiry", F.lit(ref)) < days))
+        drivers.where((F.col("status") == ACTIVE) & (F.col("license_expiry") < F.lit(before)))
         .select("driver_id", "first_name", "last_name", "license_expiry", "status")
         .orderBy(F.asc_nulls_last("license_expiry"))
     )
@@ -188,17 +188,24 @@ def maintenance_cost_per_km(
 ) -> DataFrame:
     """Query 9: maintenance cost per km of completed trips, per vehicle type.
 
-    Both sides are aggregated per vehicle before they meet, so maintenance
+    Trips are counted per vehicle and route before any join, and both sides are
+    aggregated per vehicle before they meet, so maintenance
     rows never multiply trip rows. Vehicles missing on either side drop out
     (inner join), as in the reference.
     """
-    km = (
+    per_route = (
         trips.where(F.col("status") == COMPLETED)
-        .select("vehicle_id", "route_id", "trip_id")
-        .join(routes.select("route_id", "distance_km"), "route_id")
+        .groupBy("vehicle_id", "route_id")
+        .agg(F.count("trip_id").alias("_trips"))
+    )
+    km = (
+        per_route.join(routes.select("route_id", "distance_km"), "route_id")
+        .groupBy("vehicle_id")
+        .agg(
+            F.sum("_trips").alias("cant_viajes"),
+            F.sum(F.col("distance_km") * F.col("_trips").cast("decimal(20,0)")).alias("kilom_recorridos"),
+        )
         .join(vehicles.select("vehicle_id", "vehicle_type"), "vehicle_id")
-        .groupBy("vehicle_id", "vehicle_type")
-        .agg(F.count("trip_id").alias("cant_viajes"), F.sum("distance_km").alias("kilom_recorridos"))
     )
     upkeep = maintenance.groupBy("vehicle_id").agg(
         F.count("maintenance_id").alias("mantenimientos"), F.sum("cost").alias("costo_mantenimiento")
@@ -212,9 +219,8 @@ def maintenance_cost_per_km(
             F.sum("kilom_recorridos").cast("decimal(38,2)").alias("total_km"),
         )
     )
-    return totals.withColumn(
-        "costo_mante_porkm", F.col("costo_total").cast("double") / F.col("total_km").cast("double")
-    )
+    ratio = F.col("costo_total").cast("decimal(20,2)") / F.nullif(F.col("total_km").cast("decimal(20,2)"), F.lit(0))
+    return totals.withColumn("costo_mante_porkm", F.round(ratio, 6).cast("decimal(20,6)"))
 
 
 def driver_ranking(

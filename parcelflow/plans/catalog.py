@@ -9,6 +9,7 @@ same names.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,12 @@ from parcelflow.functions import metrics as m
 from parcelflow.operators import expansion, fact, integrity, keys, quality, reports, scans
 from parcelflow.operators.etl import add_group_size
 from parcelflow.plans.first_load import FirstLoad, customers_after_two_loads
+from parcelflow.plans.pipeline import run_pipeline
+from parcelflow.session import ensure_checkpoint_dir
+from parcelflow.sinks.warehouse import Warehouse
 from parcelflow.sources.driver_tables import DEFAULT_AS_OF, fleet_tables_from_driver_data
-from parcelflow.sources.tables import FleetTables
+from parcelflow.sources.staging import raw_field, stage_raw_json
+from parcelflow.sources.tables import TABLE_NAMES, FleetTables
 
 AS_OF: _dt.date = DEFAULT_AS_OF
 # A route pair that exists in the test tables (origin region, destination nation).
@@ -61,8 +66,37 @@ INTEGRITY: dict[str, TableQuery] = {
 
 
 
-def _load(t: FleetTables) -> FirstLoad:
-    return FirstLoad(t, AS_OF)
+def _load(t: FleetTables, staged: bool = False) -> FirstLoad:
+    return FirstLoad(t, AS_OF, staged=staged)
+
+
+def _after_two_batches(t: FleetTables) -> Warehouse:
+    """A warehouse loaded in two batches.
+
+    The first sees two lines of every trip, and every seventh trip's
+    deliveries a day before their final date; the second sees everything.
+    """
+    spark = t.deliveries.sparkSession
+    wh = Warehouse(spark, f"{ensure_checkpoint_dir(spark)}/two-batches-{uuid.uuid4().hex}")
+    line = F.expr("delivery_id div 100000 % 10")
+    early = F.col("scheduled_datetime") - F.expr("INTERVAL 1 DAY")
+    first = t.deliveries.where(line <= 2).withColumn(
+        "scheduled_datetime", F.when(F.col("trip_id") % 7 == 0, early).otherwise(F.col("scheduled_datetime"))
+    )
+    tables = {name: t.table(name) for name in TABLE_NAMES}
+    run_pipeline(spark, FleetTables.from_frames(**(tables | {"deliveries": first})), wh, AS_OF, batch_id=1)
+    run_pipeline(spark, t, wh, AS_OF, batch_id=2)
+    return wh
+
+
+def _facts_of_two_batches(t: FleetTables) -> DataFrame:
+    return _after_two_batches(t).read("fact_deliveries").select(
+        *(c for c in fact.FACT_COLUMNS if c not in ("customer_key", "etl_batch_id"))
+    )
+
+
+def _totals_of_two_batches(t: FleetTables) -> DataFrame:
+    return _after_two_batches(t).read("daily_totals").drop("etl_batch_id")
 
 
 ETL: dict[str, TableQuery] = {
@@ -71,13 +105,15 @@ ETL: dict[str, TableQuery] = {
     "build_dim_vehicle": lambda t: _load(t).dim_vehicle(),
     "build_dim_driver": lambda t: _load(t).dim_driver(),
     "build_dim_route": lambda t: _load(t).dim_route(),
-    "build_dim_customer": lambda t: _load(t).dim_customer(),
+    "build_dim_customer": lambda t: _load(t, staged=True).dim_customer(),
     "build_dim_date": lambda t: _load(t).dim_date(),
     "build_dim_time": lambda t: _load(t).dim_time(),
-    "load_fact": lambda t: _load(t).fact(),
-    "daily_totals": lambda t: _load(t).totals(),
-    "sales_view": lambda t: _load(t).sales_view(),
-    "operations_view": lambda t: _load(t).operations_view(),
+    "load_fact": lambda t: _load(t, staged=True).fact(),
+    "daily_totals": lambda t: _load(t, staged=True).totals(),
+    "sales_view": lambda t: _load(t, staged=True).sales_view(),
+    "operations_view": lambda t: _load(t, staged=True).operations_view(),
+    "fact_after_two_batches": _facts_of_two_batches,
+    "totals_after_two_batches": _totals_of_two_batches,
     "merge_insert_if_absent": lambda t: customers_after_two_loads(
         t, AS_OF - _dt.timedelta(days=60), AS_OF
     ),
@@ -90,12 +126,12 @@ ETL: dict[str, TableQuery] = {
 
 
 def _fk_check(t: FleetTables) -> DataFrame:
-    load = _load(t)
+    load = _load(t, staged=True)
     return quality.dq_fk(load.fact(), load.dim_customer(), "customer_key")
 
 
 def _star_schema(t: FleetTables) -> DataFrame:
-    load = _load(t)
+    load = _load(t, staged=True)
     dims = {
         "dim_date": load.dim_date(), "dim_time": load.dim_time(), "dim_vehicle": load.dim_vehicle(),
         "dim_driver": load.dim_driver(), "dim_route": load.dim_route(), "dim_customer": load.dim_customer(),
@@ -140,6 +176,29 @@ def _time_keys(t: FleetTables) -> DataFrame:
     )
 
 
+def _summary(t: FleetTables) -> DataFrame:
+    row = quality.summary_report(t, quality.dq_report(t), AS_OF)
+    counts = (F.col("table_counts")[name].alias(name) for name in TABLE_NAMES)
+    return row.select("generation_date", "total_records", *counts, "validations_passed")
+
+
+def _staged_fields(t: FleetTables) -> DataFrame:
+    """The JSON landing table of all deliveries, read back by path."""
+    kinds = {"delivery_id": "bigint", "trip_id": "bigint", "customer_name": "string", "package_weight_kg": "decimal(10,2)", "delivery_status": "string"}
+    staged = stage_raw_json(t.deliveries, _dt.datetime.combine(AS_OF, _dt.time()))
+    return staged.select(*(raw_field(f"$.{name}", kind).alias(name) for name, kind in kinds.items()))
+
+
+def _parsed(t: FleetTables) -> DataFrame:
+    at, fmt = F.col("scheduled_datetime"), "dd/MM/yyyy HH:mm"
+    return t.deliveries.select(
+        "delivery_id",
+        cal.parse_datetime(at.cast("string")).alias("parsed"),
+        cal.parse_datetime(F.date_format(at, fmt), fmt).alias("parsed_format"),
+        cal.parse_datetime(F.concat(F.lit("x"), at.cast("string"))).alias("unparseable"),
+    )
+
+
 QUALITY: dict[str, TableQuery] = {
     "dq_report": lambda t: quality.dq_report(t),
     "dq_key_unique": lambda t: quality.dq_key_unique(t.deliveries, ["delivery_id"]),
@@ -148,8 +207,8 @@ QUALITY: dict[str, TableQuery] = {
     "table_count": lambda t: quality.table_count(t),
     "deliveries_per_trip_stats": lambda t: quality.deliveries_per_trip_stats(t.deliveries),
     "vehicle_activity": lambda t: quality.vehicle_activity(t.trips, t.vehicles),
-    "batch_count": lambda t: (lambda load: fact.batch_count(load.fact(), load.batch_id))(_load(t)),
-    "summary_report": lambda t: quality.summary_report(t, quality.dq_report(t), AS_OF),
+    "batch_count": lambda t: (lambda load: fact.batch_count(load.fact(), load.batch_id))(_load(t, staged=True)),
+    "summary_report": _summary,
 }
 
 PRIMITIVES: dict[str, TableQuery] = {
@@ -173,6 +232,12 @@ PRIMITIVES: dict[str, TableQuery] = {
 }
 
 REAIMED: dict[str, TableQuery] = {
+    "staging_json": _staged_fields,
+    "parse_datetime": _parsed,
+    "tracking_code": lambda t: t.trips.select(
+        "trip_id", m.tracking_code(F.year("departure_datetime"), "trip_id").alias("tracking_code")
+    ),
+    "address_text": lambda t: t.routes.select("route_id", m.address_text("route_code", "destination_city").alias("address")),
     "spread_dates": lambda t: expansion.spread_dates(quality.vehicle_activity(t.trips, t.vehicles)),
     "slot_times": _slots,
     "proportional_allocation": _allocation,

@@ -3,7 +3,7 @@
 These plans compute what the pipeline would write on its first run, without
 writing warehouse tables, so every stage can be registered as a query and
 compared with its SQL oracle. Where the pipeline stages a frame to its
-warehouse folder, these plans checkpoint it instead.
+warehouse folder, these plans checkpoint it instead (``staged=True``).
 ``parcelflow.plans.pipeline`` runs the same operators against a persisted
 warehouse.
 """
@@ -36,8 +36,9 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
 class FirstLoad:
     """Lazily built stages of one batch over ``tables`` as of ``as_of``."""
 
-    def __init__(self, tables: FleetTables, as_of: _dt.date | str, batch_id: int | None = None):
+    def __init__(self, tables: FleetTables, as_of: _dt.date | str, batch_id: int | None = None, staged: bool = False):
         self.t = tables
+        self.staged = staged
         self.as_of = cal.as_date(as_of)
         self.batch_id = batch_id if batch_id is not None else batch_id_for(self.as_of)
         self._memo: dict[str, DataFrame] = {}
@@ -59,20 +60,24 @@ class FirstLoad:
         )
 
     def transformed(self) -> DataFrame:
-        """The transformed batch, checkpointed like the pipeline's stage.
+        """The transformed batch: a plain plan, or checkpointed where several steps read it.
 
         Built as the pipeline builds it (per-trip sizes counted with the
-        extract) and checkpointed into the session's reliable checkpoint
-        folder, because the six dimensions and the fact all read it.
+        extract). With ``staged`` it goes to the session's reliable
+        checkpoint folder, as the pipeline stages it; else every reader
+        prunes the plan to its own columns.
         """
 
         def build() -> DataFrame:
-            ensure_checkpoint_dir(self.spark)
             t = self.t
             extracted = etl.extract_daily(
                 t.deliveries, t.trips, t.routes, t.vehicles, t.drivers, self.as_of, with_trip_sizes=True
             )
-            return etl.transform_all(extracted, self.as_of).checkpoint(eager=True)
+            out = etl.transform_all(extracted, self.as_of)
+            if not self.staged:
+                return out
+            ensure_checkpoint_dir(self.spark)
+            return out.checkpoint(eager=True)
 
         return self._get("transformed", build)
 
@@ -124,7 +129,7 @@ class FirstLoad:
         return self._get("fact", build)
 
     def totals(self) -> DataFrame:
-        return self._get("totals", lambda: fact.daily_totals(self.fact(), self.batch_id))
+        return self._get("totals", lambda: fact.daily_totals(self.fact()))
 
     def sales_view(self) -> DataFrame:
         return fact.sales_view(self.fact(), self.dim_date(), self.dim_customer())

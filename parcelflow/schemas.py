@@ -240,6 +240,14 @@ DAILY_TOTALS = _schema(
     ("etl_batch_id", LONG),
 )
 
+# What each fact row was loaded from: finds deliveries that are new or changed.
+FACT_STATE = _schema(
+    ("delivery_id", LONG),
+    ("trip_id", LONG),
+    ("fingerprint", LONG),
+    ("date_key", INT),
+)
+
 STAGING_DAILY_LOAD = T.StructType(
     [
         T.StructField("raw_data", T.VariantType(), True),
@@ -264,6 +272,7 @@ WAREHOUSE = {
     "dim_route": DIM_ROUTE,
     "dim_customer": DIM_CUSTOMER,
     "fact_deliveries": FACT_DELIVERIES,
+    "fact_state": FACT_STATE,
     "daily_totals": DAILY_TOTALS,
     "staging_daily_load": STAGING_DAILY_LOAD,
     "etl_batch_metrics": BATCH_METRICS,

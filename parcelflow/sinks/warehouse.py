@@ -49,6 +49,16 @@ class Warehouse:
         )
 
 
+    def drop_partitions(self, name: str, column: str, values: list) -> None:
+        """Remove whole partitions: those that a rewrite left without rows."""
+        for value in values:
+            _delete(self.spark, f"{self.path(name)}/{column}={value}")
+
+    def drop_stage(self, batch_id: int) -> None:
+        """Remove a finished batch's stage folder."""
+        _delete(self.spark, self.stage_path(batch_id))
+
+
 def append_batch_insert(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Append rows to a Parquet table; every task writes its own files."""
     writer = df.write.mode("append")
@@ -78,3 +88,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

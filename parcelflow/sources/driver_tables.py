@@ -5,13 +5,18 @@ column projection of one test table (routes: nation joined to region):
 
     vehicles    <- supplier          drivers     <- customer
     routes      <- nation x region   trips       <- orders
-    deliveries  <- lineitem          maintenance <- events of type 'error'
+    deliveries  <- lineitem          maintenance <- events
 
 Every expression is deterministic and the same text exists in the DuckDB
 oracle (``parcelflow.plans.oracle_sql``), so both engines see equal rows.
 Only ``routes`` joins (25 x 5 rows); ``deliveries`` takes its customer
 name from the line's part key instead of joining orders and customers, which
 would add a second shuffle of the biggest table for one text column.
+
+Fixed shares of the rows break a rule each, so that filters, outer joins and
+checks have something to find: trips without a vehicle row, without a driver
+or with an arrival before the departure, and deliveries without a trip or a
+customer name, or with a weight on the edge of the allowed range.
 """
 
 from __future__ import annotations
@@ -122,13 +127,14 @@ def trips_from_orders(orders: DataFrame) -> DataFrame:
     is_open = F.col("o_orderstatus") == "O"
     return orders.select(
         k.alias("trip_id"),
-        (k % 10).alias("vehicle_id"),
-        (F.col("o_custkey") % 40).alias("driver_id"),
+        F.when(k % 211 == 5, F.lit(-1)).otherwise(F.floor(F.col("o_custkey") / 15)).cast("bigint").alias("vehicle_id"),
+        F.when(k % 97 != 3, F.col("o_custkey")).alias("driver_id"),
         (k % 25).alias("route_id"),
         (F.col("o_orderdate") + _minutes(start)).alias("departure_datetime"),
-        F.when(~is_open, F.col("o_orderdate") + _minutes(start + 60 + k % 600)).alias(
-            "arrival_datetime"
-        ),
+        F.when(
+            ~is_open,
+            F.col("o_orderdate") + _minutes(F.when(k % 173 == 7, start - 30).otherwise(start + 60 + k % 600)),
+        ).alias("arrival_datetime"),
         F.when(k % 50 == 0, F.lit(0)).otherwise(10 + k % 90).cast("decimal(10,2)").alias(
             "fuel_consumed_liters"
         ),
@@ -143,13 +149,17 @@ def deliveries_from_lineitem(lineitem: DataFrame) -> DataFrame:
     slot = pk * 11 % 1440
     return lineitem.select(
         ((ok * 10 + ln) * 100000 + pk).alias("delivery_id"),
-        ok.alias("trip_id"),
+        F.when((ok * 10 + ln) % 499 == 0, -ok - 1).otherwise(ok).alias("trip_id"),
         F.when(pk % 97 == 0, F.lit(""))
         .otherwise(F.concat(F.lit("FL"), ok.cast("string"), F.lit("-"), ln.cast("string")))
         .alias("tracking_number"),
-        F.concat(F.lit("Customer#"), F.lpad(pk.cast("string"), 9, "0")).alias("customer_name"),
+        F.when(pk % 89 != 0, F.concat(F.lit("Customer#"), F.lpad(pk.cast("string"), 9, "0"))).alias("customer_name"),
         F.lit(None).cast("string").alias("delivery_address"),
-        F.col("l_quantity").cast("decimal(10,2)").alias("package_weight_kg"),
+        F.when(pk % 101 == 0, F.lit(0))
+        .when(pk % 103 == 0, F.lit(10000))
+        .otherwise(F.col("l_quantity"))
+        .cast("decimal(10,2)")
+        .alias("package_weight_kg"),
         (F.col("l_shipdate") + _minutes(slot)).alias("scheduled_datetime"),
         F.when(
             flag != "N",
@@ -161,9 +171,9 @@ def deliveries_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def maintenance_from_events(events: DataFrame) -> DataFrame:
-    return events.where(F.col("event_type") == "error").select(
+    return events.select(
         F.col("event_id").alias("maintenance_id"),
-        (F.col("user_id") % 10).alias("vehicle_id"),
+        F.floor(F.col("user_id") * 2 / 3).cast("bigint").alias("vehicle_id"),
         F.col("ts").cast("date").alias("maintenance_date"),
         F.col("event_type").alias("maintenance_type"),
         F.lit(None).cast("string").alias("description"),

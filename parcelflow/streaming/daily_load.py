@@ -5,8 +5,8 @@ any scheduler starts one ``Trigger.AvailableNow`` query: it picks up the
 delivery files that landed since the previous run, runs the ETL batch on
 each micro-batch via ``foreachBatch`` and stops. Progress lives in the
 streaming checkpoint (shared storage), so a crashed run resumes where it
-stopped; a replayed micro-batch is harmless because the fact load skips
-deliveries already loaded and the totals of a batch id are replaced.
+stopped; a replayed micro-batch is harmless because the load looks only at
+deliveries that differ from the fact and rewrites whole dates.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelflow import schemas
 from parcelflow.plans.pipeline import BatchMetrics, run_pipeline
@@ -34,8 +35,11 @@ def run_available_now(
     """Load every delivery file not yet processed, then stop.
 
     ``tables`` supplies trips, routes, vehicles and drivers; deliveries come
-    from the new files under ``landing_dir``. Micro-batch ``e`` gets batch
-    id ``batch_id_base + e``.
+    from the files under ``landing_dir``. A micro-batch names the trips to
+    look at; all deliveries of those trips are read from the landed files, so
+    the result does not depend on how files are cut into micro-batches. Of a
+    delivery that landed twice the version in the newest file counts.
+    Micro-batch ``e`` gets batch id ``batch_id_base + e``.
     """
     reader = spark.readStream.schema(schemas.DELIVERIES)
     if max_files_per_trigger:
@@ -45,7 +49,7 @@ def run_available_now(
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         loaders = {name: (lambda name=name: tables.table(name)) for name in TABLE_NAMES if name != "deliveries"}
-        loaders["deliveries"] = lambda: batch
+        loaders["deliveries"] = lambda: landed_deliveries(spark, landing_dir, batch.select("delivery_id"))
         metrics = run_pipeline(spark, FleetTables(loaders), wh, as_of, batch_id=batch_id_base + epoch_id)
         results.append(metrics)
 
@@ -57,3 +61,13 @@ def run_available_now(
     )
     query.awaitTermination()
     return results
+
+
+def landed_deliveries(spark: SparkSession, landing_dir: str, changed: DataFrame) -> DataFrame:
+    """The newest landed version of every delivery on a trip that a changed delivery is or was on."""
+    files = spark.read.schema(schemas.DELIVERIES).parquet(landing_dir)
+    rows = files.select("*", F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("_age"))
+    trips = files.join(changed, "delivery_id", "left_semi").select("trip_id").distinct()
+    ids = files.join(trips, "trip_id", "left_semi").select("delivery_id").distinct()
+    newest = F.max_by(F.struct(*schemas.DELIVERIES.names), F.col("_age")).alias("_row")
+    return rows.join(ids, "delivery_id", "left_semi").groupBy("delivery_id").agg(newest).select("_row.*")
