@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from decimal import Decimal as D
 
 from builders import TS, delivery, driver, frame, route, tables, trip, vehicle
@@ -98,14 +99,14 @@ def test_dedupe_is_deterministic_on_ties(spark):
     assert got == [(1, 5, "a"), (2, 1, "z")]
 
 
-def test_broadcast_if_bounded_falls_back(spark):
-    df = spark.range(10)
-    assert "broadcast" not in keys.broadcast_if_bounded(df, 5)._jdf.queryExecution().logical().toString().lower()
-    hinted = keys.broadcast_if_bounded(df, 50)
-    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
+def test_group_values_meet_hot_and_null_keys(spark):
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i % 2) for i in range(100)], "id int, k int")
+    sizes = df.where("k IS NOT NULL").groupBy("k").count()
+    got = keys.join_group_values(df, sizes, "k", salts=4).collect()
+    assert len(got) == 100 and {(r.k, r["count"]) for r in got} == {(None, None), (0, 40), (1, 50)}
 
 
-def test_pipeline_idempotent_and_totals_replaced(spark, scratch):
+def test_pipeline_idempotent_and_touched_trips_derived_anew(spark, scratch):
     t = small_fleet(spark)
     wh = Warehouse(spark, scratch)
     first = run_pipeline(spark, t, wh, AS_OF, batch_id=7)
@@ -113,7 +114,6 @@ def test_pipeline_idempotent_and_totals_replaced(spark, scratch):
     again = run_pipeline(spark, t, wh, AS_OF, batch_id=7)
     assert again.records_loaded == 0
     assert wh.read("fact_deliveries").count() == 2
-    # Totals of batch 7 are recomputed from its fact rows and replace the old ones.
     totals = [(r.num_entregas, r.etl_batch_id) for r in wh.read("daily_totals").collect()]
     assert totals == [(2, 7)]
     later = run_pipeline(
@@ -121,18 +121,53 @@ def test_pipeline_idempotent_and_totals_replaced(spark, scratch):
         small_fleet(spark, extra_deliveries=[delivery(14, tid=1, customer="Dora")]),
         wh, AS_OF, batch_id=8,
     )
-    assert later.records_loaded == 1
+    # the new delivery changes what its trip's other deliveries cost
+    assert later.records_loaded == 3
+    costs = {r.delivery_id: r.cost_per_delivery for r in wh.read("fact_deliveries").collect()}
+    assert costs == dict.fromkeys((11, 13, 14), D("86666.67"))
     got = sorted((r.etl_batch_id, r.num_entregas) for r in wh.read("daily_totals").collect())
-    assert got == [(7, 2), (8, 1)]
+    assert got == [(8, 3)]  # one row per date
     cust = sorted((r.customer_name, r.customer_key) for r in wh.read("dim_customer").collect())
     assert cust == [("Ana", 1), ("Caro", 2), ("Dora", 3)]
     audit = sorted(r.etl_batch_id for r in wh.read("etl_batch_metrics").collect())
     assert audit == [7, 7, 8]
+    assert not os.path.exists(wh.stage_path(8))
     from parcelflow.plans.pipeline import warehouse_key_report
 
     assert sum(r.violations for r in warehouse_key_report(wh).collect()) == 0
 
 
+def test_rescheduled_and_moved_deliveries_are_loaded_once(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    trips = [trip(3, vid=1, did=1)]
+    run_pipeline(spark, small_fleet(spark, [delivery(31, tid=3), delivery(32, tid=3)], trips), wh, AS_OF, batch_id=1)
+    moved = [delivery(31, tid=1, sched=TS(2026, 11, 20, 9, 0), delivered=TS(2026, 11, 20, 9, 5)), delivery(32, tid=3)]
+    now = small_fleet(spark, moved, trips)
+    run_pipeline(spark, now, wh, AS_OF, batch_id=2)
+    once = Warehouse(spark, scratch + "/once")
+    run_pipeline(spark, now, once, AS_OF, batch_id=2)
+    # batch ids tell which batch touched a row last
+    columns = [c for c in fact.FACT_COLUMNS if c not in ("customer_key", "etl_batch_id")]
+    for name, keep in (("fact_deliveries", columns), ("daily_totals", ["date_key", "num_entregas", "avg_delivery_time"])):
+        a, b = wh.read(name).select(*keep), once.read(name).select(*keep)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+    # a date that lost its last delivery has neither rows nor totals
+    gone = [delivery(31, tid=1, sched=TS(2026, 11, 21, 9, 0), delivered=TS(2026, 11, 21, 9, 5)), delivery(32, tid=3)]
+    run_pipeline(spark, small_fleet(spark, gone, trips), wh, AS_OF, batch_id=3)
+    dates = {r.date_key for r in wh.read("daily_totals").collect()}
+    assert 20261121 in dates and 20261120 not in dates
+    assert {r.date_key for r in wh.read("fact_deliveries").collect()} == dates
+
+
+def test_repeated_dimension_row_multiplies_nothing(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    run_pipeline(spark, small_fleet(spark), wh, AS_OF, batch_id=1)
+    wh.append("dim_customer", wh.read("dim_customer").withColumn("customer_key", F.col("customer_key") + 100))
+    run_pipeline(spark, small_fleet(spark, [delivery(14, tid=1, customer="Ana")]), wh, AS_OF, batch_id=2)
+    facts = wh.read("fact_deliveries").collect()
+    assert sorted(r.delivery_id for r in facts) == [11, 13, 14] and {r.customer_key for r in facts} == {1}
+
+
 def test_daily_totals_round_half_up(spark):
     rows = [(20261102, D("10.00"), D("1.00"), True, 1), (20261102, D("20.00"), D("2.01"), False, 1),
             (20261102, D("30.00"), D("2.00"), False, 1), (20261102, D("40.00"), D("3.00"), False, 1),
@@ -140,7 +175,7 @@ def test_daily_totals_round_half_up(spark):
             (20261102, D("70.00"), D("6.00"), False, 1), (20261102, D("80.00"), D("7.00"), False, 1)]
     f = spark.createDataFrame(rows, "date_key int, revenue_per_delivery decimal(10,2), "
                                     "delivery_time_minutes decimal(12,2), is_on_time boolean, etl_batch_id bigint")
-    r = fact.daily_totals(f, 1).first()
+    r = fact.daily_totals(f).first()
     assert (r.num_entregas, r.total_revenue) == (8, D("360.00"))
     assert r.avg_delivery_time == D("3.75")  # 30.01 / 8 = 3.75125
     assert r.on_time_rate == D("0.13")  # 1 / 8 = 0.125 rounds up
@@ -191,13 +226,6 @@ def test_trip_sizes_from_extract_match_counting_after_transform(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_broadcast_all_if_bounded_checks_each_frame(spark):
-    frames = {"small": spark.range(3), "big": spark.range(100)}
-    out = keys.broadcast_all_if_bounded(frames, {"small": 10, "big": 10})
-    plan = lambda df: df._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" in plan(out["small"]) and "broadcast" not in plan(out["big"])
-
-
 def test_rerun_after_a_failed_batch_leaves_no_duplicates(spark, scratch, monkeypatch):
     import pytest
 
@@ -214,6 +242,7 @@ def test_rerun_after_a_failed_batch_leaves_no_duplicates(spark, scratch, monkeyp
         pipeline.run_pipeline(spark, t, wh, AS_OF, batch_id=9)
     monkeypatch.undo()
     assert wh.read("dim_customer").count() == 2 and not wh.exists("fact_deliveries")
+    assert [(r.etl_batch_id, r.errors) for r in wh.read("etl_batch_metrics").collect()] == [(9, 1)]
 
     metrics = pipeline.run_pipeline(spark, t, wh, AS_OF, batch_id=9)
     assert metrics.records_loaded == 2

@@ -135,12 +135,13 @@ def test_star_schema_report_flags_duplicates_and_orphans(spark):
         "dim_customer": spark.createDataFrame([(1,)], "customer_key bigint"),
     }
     fact = spark.createDataFrame(
-        [(20260101, 800, 900, 1, 1, 1, 2)],
+        [(20260101, 800, 900, 1, 1, 1, 2, 5), (20260101, 800, 800, 1, 1, 1, None, 5)],
         "date_key int, scheduled_time_key int, delivered_time_key int, vehicle_key bigint, "
-        "driver_key bigint, route_key bigint, customer_key bigint",
+        "driver_key bigint, route_key bigint, customer_key bigint, delivery_id bigint",
     )
     got = {(r.table_name, r.key_column): r.violations for r in quality.star_schema_report(fact, dims).collect()}
     assert got[("dim_date", "date_key")] == 1
     assert got[("fact_deliveries", "delivered_time_key")] == 1
     assert got[("fact_deliveries", "customer_key")] == 1
-    assert sum(got.values()) == 3 and len(got) == 13
+    assert got[("fact_deliveries", "delivery_id")] == 1
+    assert sum(got.values()) == 4 and len(got) == 14
