@@ -10,11 +10,13 @@ child per node it shares; independent trees raise the recall to the target (see
 ``TREES``).
 
 Nodes of up to ``SMALL`` classes are compared exhaustively. In larger ones each
-class is compared with the node's smallest class, and the node branches on for
-as long as its classes lie in different components. Copies by the thousand are
-linked to one member at the first node they share, which closes it; dissimilar
-classes part within a few levels. There is no cap: after ``DEEP`` levels what
-is left is compared exhaustively.
+class is first compared with the node's smallest class. Copies by the thousand
+are linked that way at the first node they share, and a node whose classes lie
+in one component is closed. In the others, classes outside the node's largest
+component need comparing with all. Once those pairs number no more than
+``PAIRS_PER_CLASS`` times the classes, all of them are compared, which ends the
+join; until then the nodes branch on, and dissimilar classes part. There is no
+cap: after ``DEEP`` levels what is left is compared exhaustively too.
 
 Compared pairs pass a sketch (four bits of each minwise token) five standard
 deviations below the threshold, and then the full shingle sets decide. Pairs
@@ -49,6 +51,7 @@ SIMILARITY = PERCENT / 100
 TREES = 18
 SMALL = 12
 DEEP = 24
+PAIRS_PER_CLASS = 16
 SKETCH_WORDS = 8
 # Agreements of the four-bit sketch at the threshold: 98 of 128, with a standard deviation of 4.8.
 SKETCH_LEAST = 74
@@ -201,6 +204,7 @@ class Join:
 
     def __init__(self, docs: DataFrame, classes: DataFrame):
         self.docs, self.classes = docs, classes
+        self.tried: DataFrame | None = None
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -231,51 +235,77 @@ class Join:
             F.col("agree") >= SKETCH_LEAST
         ).select("a", "b", "agree")
 
-    def add(self, pairs: DataFrame) -> None:
-        """Checks pairs between components and joins the components they link."""
-        rest = stored(self.likely(self.apart(pairs)), "likely-pairs")
-        # each class tries its most similar partner first; most other pairs then lie within a component
+    def add(self, pairs: DataFrame, turns: int = 1) -> None:
+        """Checks pairs between components and joins the components they link.
+
+        With two turns each class tries its most similar partner first; most
+        other pairs then lie within a component and need no check.
+        """
+        likely = self.likely(self.apart(pairs))
+        if self.tried is not None:
+            likely = likely.join(self.tried, ["a", "b"], "left_anti")
+        rest = stored(likely, "likely-pairs")
         best = rest.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a")).select("a", "b")
-        for turn in range(2):
-            tried = best if turn == 0 else self.apart(rest.select("a", "b").join(best, ["a", "b"], "left_anti"))
-            tried = stored(tried, "tried-pairs")
-            if tried.isEmpty():
+        for turn in range(turns):
+            now = best if turn < turns - 1 else self.apart(rest.select("a", "b"))
+            if turn:
+                now = now.join(best, ["a", "b"], "left_anti")
+            now = stored(now, "tried-pairs")
+            if now.isEmpty():
                 return
-            found = stored(similar_sets(tried, self.docs), "links")
+            self.tried = now if self.tried is None else self.tried.union(now)
+            found = stored(similar_sets(now, self.docs), "links")
             if found.isEmpty():
                 continue
-            self.links = found if self.links is None else stored(self.links.union(found), "links")
+            self.links = found if self.links is None else self.links.union(found)
             self.labels = components(self.links)
 
 
-def node_pairs(rows: DataFrame, exhaustive: int | None) -> DataFrame:
-    """Pairs to compare, from ``node, rep, label, n, pivot``: with the smallest class, and all of small nodes."""
+def first_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs to compare at once, from ``node, rep, label, n, pivot``: with the smallest class, and all of small nodes."""
     star = rows.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
-    few = rows.where("rep <> pivot AND n > 2")
-    if exhaustive is not None:
-        few = few.where(F.col("n") <= exhaustive)
+    few = rows.where(f"rep <> pivot AND n > 2 AND n <= {SMALL}")
     left = few.select("node", F.col("rep").alias("a"), F.col("label").alias("_la"))
     right = few.select("node", F.col("rep").alias("b"), F.col("label").alias("_lb"))
     rest = left.join(right, "node").where("a < b AND _la <> _lb").select("a", "b")
     return star.union(rest).distinct()
 
 
+def other_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Every pair of a node in two components: classes outside the node's largest component against all."""
+    left = rows.join(nodes.select("node", "major"), "node").where("label <> major")
+    left = left.select("node", F.col("rep").alias("_x"), F.col("label").alias("_lx"))
+    right = rows.select("node", F.col("rep").alias("_y"), F.col("label").alias("_ly"))
+    pairs = left.join(right, "node").where("_lx <> _ly")
+    return pairs.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).distinct()
+
+
 def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     """``id, label`` of the classes (``rep, n_shingles, tokens, s0 ..``) that have a link; None without any."""
     join = Join(docs, classes)
     level = stored(_branched(classes.select("rep", "tokens"), first=True), "nodes")
     for depth in range(2, DEEP + 1):
-        rows = join.labelled(level, "rep", "label")
-        open_ = rows.groupBy("node").agg(
+        open_ = join.labelled(level, "rep", "label").groupBy("node").agg(
             F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"), F.min("label").alias("_lo"), F.max("label").alias("_hi")
         )
         open_ = stored(open_.where("n > 1 AND _lo <> _hi").drop("_lo", "_hi"), "open-nodes")
-        if open_.isEmpty():
+        rows = stored(join.labelled(level.join(open_, "node"), "rep", "label"), "members")
+        join.add(first_pairs(rows), turns=2 if depth == 2 else 1)
+
+        large = stored(join.labelled(rows.where(F.col("n") > SMALL).select("node", "rep"), "rep", "label"), "large-nodes")
+        parts = large.groupBy("node", "label").agg(F.count(F.lit(1)).alias("_c"))
+        nodes = parts.groupBy("node").agg(
+            F.sum("_c").alias("n"), F.max("_c").alias("_most"), F.max_by("label", F.struct("_c", "label")).alias("major")
+        )
+        nodes = stored(nodes.where("n > _most"), "large-open-nodes")
+        pairs = nodes.agg(F.sum((F.col("n") - F.col("_most")) * F.col("n")).alias("pairs")).first()["pairs"]
+        if not pairs:
+            break
+        large = large.join(nodes.select("node"), "node")
+        if depth == DEEP or pairs <= PAIRS_PER_CLASS * classes.count():
+            join.add(other_pairs(large, nodes))
             break
-        rows = stored(rows.join(open_, "node"), "members")
-        join.add(node_pairs(rows, SMALL if depth < DEEP else None))
-        large = rows.where(F.col("n") > SMALL).select("node", "rep")
-        level = stored(_branched(large.join(classes.select("rep", "tokens"), "rep"), first=False), "nodes")
+        level = stored(_branched(large.join(classes.select("rep", "tokens"), "rep").select("node", "rep", "tokens"), first=False), "nodes")
     return join.labels
 
 
