@@ -45,12 +45,19 @@ def _validity(as_of: _dt.date) -> dict[str, Column]:
     }
 
 
+def _entities(rows: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per id, the first of ``cols``.
+
+    The columns come from the id's entity row, so a hash ``distinct`` (partial
+    on the map side) reduces deliveries to entities before anything is sorted.
+    """
+    return dedupe_keep_first(rows.select(*cols).distinct(), cols[:1], cols[1:]).select(*cols)
+
+
 def stage_vehicles(transformed: DataFrame) -> DataFrame:
     cols = ["vehicle_id", "license_plate", "vehicle_type", "capacity_kg", "fuel_type",
             "acquisition_date", "age_months", "vehicle_status"]
-    return dedupe_keep_first(
-        transformed.select(*cols, *FIRST_ROW_ORDER), ["vehicle_id"], FIRST_ROW_ORDER
-    ).select(*cols)
+    return _entities(transformed, cols)
 
 
 def vehicle_inserts(staged: DataFrame, existing: DataFrame, as_of: _dt.date | str) -> DataFrame:
@@ -67,9 +74,7 @@ def stage_drivers(transformed: DataFrame) -> DataFrame:
     cols = ["driver_id", "employee_code", "full_name", "license_number", "license_expiry",
             "phone", "hire_date", "experience_months", "driver_status"]
     with_driver = transformed.where(F.col("driver_id").isNotNull() & F.col("employee_code").isNotNull())
-    return dedupe_keep_first(
-        with_driver.select(*cols, *FIRST_ROW_ORDER), ["driver_id"], FIRST_ROW_ORDER
-    ).select(*cols)
+    return _entities(with_driver, cols)
 
 
 def driver_inserts(staged: DataFrame, existing: DataFrame, as_of: _dt.date | str) -> DataFrame:
@@ -86,9 +91,7 @@ def driver_inserts(staged: DataFrame, existing: DataFrame, as_of: _dt.date | str
 def stage_routes(transformed: DataFrame) -> DataFrame:
     cols = ["route_id", "route_code", "origin_city", "destination_city", "distance_km",
             "estimated_duration_hours", "toll_cost"]
-    return dedupe_keep_first(
-        transformed.select(*cols, *FIRST_ROW_ORDER), ["route_id"], FIRST_ROW_ORDER
-    ).select(*cols)
+    return _entities(transformed, cols)
 
 
 def route_inserts(staged: DataFrame, existing: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import calendar as cal
+from parcelflow.operators.scans import filter_not_equal
 
 # Fixed value: the fact's 23 loaded columns, in order.
 FACT_COLUMNS = [
@@ -71,10 +72,10 @@ def batch_count(fact: DataFrame, batch_id: int) -> DataFrame:
 
 def sales_view(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Sales view: six columns; rows of the hidden customer type (and NULL types) excluded."""
+    shown = filter_not_equal(dim_customer, "customer_type", HIDDEN_CUSTOMER_TYPE)
     return (
         fact.join(dim_date.select("date_key", "full_date"), "date_key")
-        .join(dim_customer.select("customer_key", "customer_name", "customer_type"), "customer_key")
-        .where(F.col("customer_type") != HIDDEN_CUSTOMER_TYPE)
+        .join(shown.select("customer_key", "customer_name", "customer_type"), "customer_key")
         .select(
             "full_date", "customer_name", "customer_type", "package_weight_kg", "delivery_status",
             "revenue_per_delivery",
