@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,15 +18,29 @@ from parcelflow.session import ensure_checkpoint_dir
 
 # Text bytes that a Python worker handles at once. A longer text is a chunk of its own.
 CHUNK_BYTES = 8 << 20
+BATCH_ROWS = 2000
 SHINGLE_WORDS = 5
 
 
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import this package wherever the session was started from.
+
+    On a cluster the package comes with the job (``--py-files``) or is installed.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (``spark.checkpoint.dir``)."""
+    share_package(spark)
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -67,16 +83,34 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, most: int = CHUNK_BYT
             lo = hi
 
 
-def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "text") -> DataFrame:
+def short_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches at ``BATCH_ROWS`` rows where nobody has set them.
+
+    Spark's default of 10,000 rows holds too many texts for a worker.
+    """
+    share_package(df.sparkSession)
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key, None) is None:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
+def mapped(
+    df: DataFrame,
+    fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: str,
+    column: str = "text",
+    most: int = CHUNK_BYTES,
+) -> DataFrame:
     """``mapInArrow`` over bounded chunks; ``fn`` turns one chunk into one batch (or none)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, column):
+        for part in chunks(batches, column, most):
             out = fn(part)
             if out is not None and out.num_rows:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return short_batches(df).mapInArrow(run, schema)
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

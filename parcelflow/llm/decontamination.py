@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import SHINGLE_WORDS, chunks, drop_words, mapped, shingle_hashes, split_words, table, texts_of, word_hashes
+from parcelflow.llm.common import SHINGLE_WORDS, chunks, drop_words, mapped, shingle_hashes, short_batches, split_words, table, texts_of, word_hashes
 
 PERCENT = 75
 BLOCKS = 4
@@ -224,7 +224,7 @@ def without_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 if clean.num_rows:
                     yield clean
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = short_batches(docs).mapInArrow(keep, docs.schema)
     return docs
 
 

@@ -12,11 +12,10 @@ child per node it shares; independent trees raise the recall to the target (see
 Nodes of up to ``SMALL`` classes are compared exhaustively. In larger ones each
 class is first compared with the node's smallest class. Copies by the thousand
 are linked that way at the first node they share, and a node whose classes lie
-in one component is closed. In the others, classes outside the node's largest
-component need comparing with all. Once those pairs number no more than
-``PAIRS_PER_CLASS`` times the classes, all of them are compared, which ends the
-join; until then the nodes branch on, and dissimilar classes part. There is no
-cap: after ``DEEP`` levels what is left is compared exhaustively too.
+in one component is closed. Open nodes of up to ``NODE`` classes are then
+compared exhaustively inside a task, which holds that many sketches and sets;
+larger ones branch on, and dissimilar classes part. There is no cap: after
+``DEEP`` levels what is left is compared exhaustively by joins.
 
 Compared pairs pass a sketch (four bits of each minwise token) five standard
 deviations below the threshold, and then the full shingle sets decide. Pairs
@@ -40,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.llm.bloom import with_possible
-from parcelflow.llm.common import chunks, mapped, mix, salted_left_join, shingle_sets, stored, table, texts_of
+from parcelflow.llm.common import chunks, mapped, mix, salted_left_join, shingle_sets, short_batches, stored, table, texts_of
 from parcelflow.llm.components import components
 
 COORDINATES = 128
@@ -51,7 +50,8 @@ SIMILARITY = PERCENT / 100
 TREES = 18
 SMALL = 12
 DEEP = 24
-PAIRS_PER_CLASS = 16
+CHUNK = 2 << 20  # text bytes whose shingle sets a worker holds at once
+NODE = 1000
 SKETCH_WORDS = 8
 # Agreements of the four-bit sketch at the threshold: 98 of 128, with a standard deviation of 4.8.
 SKETCH_LEAST = 74
@@ -171,6 +171,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
         read,
         f"doc_id long, n_shingles long, set_key binary, tokens binary, {words}",
+        most=CHUNK,
     )
 
 
@@ -185,15 +186,15 @@ def similar_sets(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> D
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, "text_b"):
+        for part in chunks(batches, "text_b", CHUNK):
             ok = []
-            for some in chunks(iter([part]), "text_a"):
+            for some in chunks(iter([part]), "text_a", CHUNK):
                 for x, y in zip(shingle_sets(texts_of(some, "text_a")), shingle_sets(texts_of(some, "text_b")), strict=True):
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     ok.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return short_batches(both).mapInArrow(run, "a long, b long").distinct()
 
 
 # ---- the join -------------------------------------------------------------------------------------------------
@@ -241,10 +242,7 @@ class Join:
         With two turns each class tries its most similar partner first; most
         other pairs then lie within a component and need no check.
         """
-        likely = self.likely(self.apart(pairs))
-        if self.tried is not None:
-            likely = likely.join(self.tried, ["a", "b"], "left_anti")
-        rest = stored(likely, "likely-pairs")
+        rest = stored(self.new(self.likely(self.apart(pairs))), "likely-pairs")
         best = rest.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a")).select("a", "b")
         for turn in range(turns):
             now = best if turn < turns - 1 else self.apart(rest.select("a", "b"))
@@ -254,9 +252,15 @@ class Join:
             if now.isEmpty():
                 return
             self.tried = now if self.tried is None else self.tried.union(now)
-            found = stored(similar_sets(now, self.docs), "links")
-            if found.isEmpty():
-                continue
+            self.link(similar_sets(now, self.docs))
+
+    def new(self, pairs: DataFrame) -> DataFrame:
+        """The pairs not tried before."""
+        return pairs if self.tried is None else pairs.join(self.tried, ["a", "b"], "left_anti")
+
+    def link(self, found: DataFrame) -> None:
+        found = stored(found, "links")
+        if not found.isEmpty():
             self.links = found if self.links is None else self.links.union(found)
             self.labels = components(self.links)
 
@@ -280,9 +284,97 @@ def other_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).distinct()
 
 
+def likely_in_nodes(members: DataFrame) -> DataFrame:
+    """``node, a, b``: pairs of a node in two components whose sketches agree often enough.
+
+    ``members`` holds ``node, rep, label, n_shingles, s0 ..`` of nodes with up
+    to ``NODE`` classes, which a task compares in memory.
+    """
+
+    def pairs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        rep, label, size = (t.column(c).to_numpy() for c in ("rep", "label", "n_shingles"))
+        bits = np.column_stack([t.column(f"s{j}").to_numpy() for j in range(SKETCH_WORDS)]).view(np.uint64)
+        found = []
+        for lo in range(0, len(rep), 32):
+            x = bits[lo : lo + 32, None, :] ^ bits[None, lo:, :]
+            x |= x >> np.uint64(1)
+            x |= x >> np.uint64(2)
+            agree = COORDINATES - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(2, dtype=np.int32)
+            row, at = np.nonzero((agree >= SKETCH_LEAST) & (label[lo : lo + 32, None] != label[None, lo:]))
+            keep = at > row
+            row, at = row[keep] + lo, at[keep] + lo
+            alike = 100 * np.minimum(size[row], size[at]) >= PERCENT * np.maximum(size[row], size[at])
+            found.append((rep[row[alike]], rep[at[alike]]))
+        a, b = (np.concatenate([f[k] for f in found]) for k in range(2))
+        node = np.full(len(a), t.column("node")[0].as_py(), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["node", "a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            node = batch.column("node").to_numpy()
+            cuts = [0, *(np.flatnonzero(node[1:] != node[:-1]) + 1), len(node)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if hi > lo:
+                    if held and node[lo] != last:
+                        yield pairs(held)
+                        held = []
+                    held.append(batch.slice(lo, hi - lo))
+                    last = node[lo]
+        if held:
+            yield pairs(held)
+
+    words = [f"s{j}" for j in range(SKETCH_WORDS)]
+    rows = members.select("node", "rep", "label", "n_shingles", *words).repartition("node").sortWithinPartitions("node")
+    return rows.mapInArrow(run, "node long, a long, b long")
+
+
+def similar_in_nodes(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs ``a, b`` of ``node, a, b`` whose full sets reach ``percent``.
+
+    A pair is checked in one node only, and a node gets each of its sets once.
+    """
+    once = stored(pairs.groupBy("a", "b").agg(F.min("node").alias("node")), "node-pairs")
+    wanted = once.select("node", F.col("a").alias("rep")).union(once.select("node", "b")).distinct()
+    wanted = stored(wanted, "wanted-sets")
+    ids = stored(wanted.select("rep").distinct(), "wanted")
+    texts = with_possible(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", ids, "rep")
+
+    def sets_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [x.tobytes() for x in shingle_sets(texts_of(batch))]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["rep", "shingles"])
+
+    sets = mapped(texts.where("possible").select("doc_id", "text"), sets_of, "rep long, shingles binary", most=CHUNK)
+    rows = wanted.join(sets, "rep").select("node", "rep", "shingles")
+
+    def check(left: pa.Table, right: pa.Table) -> pa.Table:
+        own = {r: np.frombuffer(x, np.uint64) for r, x in zip(right.column("rep").to_pylist(), right.column("shingles").to_pylist(), strict=True)}
+        found, label = [], {r: r for r in own}
+
+        def root(r: int) -> int:
+            while label[r] != r:
+                label[r] = label[label[r]]
+                r = label[r]
+            return r
+
+        for a, b in zip(left.column("a").to_pylist(), left.column("b").to_pylist(), strict=True):
+            if (ra := root(a)) != (rb := root(b)):
+                common = len(np.intersect1d(own[a], own[b], assume_unique=True))
+                if 100 * common >= percent * (len(own[a]) + len(own[b]) - common):
+                    found.append((a, b))
+                    label[max(ra, rb)] = min(ra, rb)
+        a, b = ([f[k] for f in found] for k in range(2))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return once.groupBy("node").cogroup(rows.groupBy("node")).applyInArrow(check, "a long, b long")
+
+
 def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     """``id, label`` of the classes (``rep, n_shingles, tokens, s0 ..``) that have a link; None without any."""
     join = Join(docs, classes)
+    sketches = classes.drop("tokens")
     level = stored(_branched(classes.select("rep", "tokens"), first=True), "nodes")
     for depth in range(2, DEEP + 1):
         open_ = join.labelled(level, "rep", "label").groupBy("node").agg(
@@ -298,11 +390,15 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
             F.sum("_c").alias("n"), F.max("_c").alias("_most"), F.max_by("label", F.struct("_c", "label")).alias("major")
         )
         nodes = stored(nodes.where("n > _most"), "large-open-nodes")
-        pairs = nodes.agg(F.sum((F.col("n") - F.col("_most")) * F.col("n")).alias("pairs")).first()["pairs"]
-        if not pairs:
+        if nodes.isEmpty():
+            break
+        inside = large.join(nodes.where(F.col("n") <= NODE).select("node"), "node").join(sketches, "rep")
+        join.link(similar_in_nodes(stored(join.new(likely_in_nodes(inside)), "likely-in-nodes"), docs))
+        nodes = nodes.where(F.col("n") > NODE)
+        if nodes.isEmpty():
             break
         large = large.join(nodes.select("node"), "node")
-        if depth == DEEP or pairs <= PAIRS_PER_CLASS * classes.count():
+        if depth == DEEP:
             join.add(other_pairs(large, nodes))
             break
         level = stored(_branched(large.join(classes.select("rep", "tokens"), "rep").select("node", "rep", "tokens"), first=False), "nodes")

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.llm.bloom import with_possible
-from parcelflow.llm.common import chunks, mix, stored, table, texts_of
+from parcelflow.llm.common import chunks, mix, short_batches, stored, table, texts_of
 
 LENGTH = 400
 GRAM = 100
@@ -150,7 +150,7 @@ def anchor_rows(rows: DataFrame) -> DataFrame:
                     ["k1", "k2", "h", "r", "lo", "n", "a"],
                 )
 
-    return rows.where(F.octet_length("text") >= LENGTH).select("k1", "k2", "text").mapInArrow(run, ANCHORS)
+    return rows.where(F.octet_length("text") >= LENGTH).select("k1", "k2", "text").transform(short_batches).mapInArrow(run, ANCHORS)
 
 
 # ---- contexts of one anchor hash against each other --------------------------------------------------------------

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from parcelflow.llm import near_dup
 
 
@@ -46,8 +48,11 @@ def test_components_match_brute_force(frame, words):
     assert got == brute(rows)
 
 
-def test_large_group_branches_on(frame, words, monkeypatch):
+@pytest.mark.parametrize(("node", "deep"), [(1000, 24), (8, 24), (8, 2)])
+def test_large_nodes(frame, words, monkeypatch, node, deep):
     monkeypatch.setattr(near_dup, "SMALL", 2)
+    monkeypatch.setattr(near_dup, "NODE", node)
+    monkeypatch.setattr(near_dup, "DEEP", deep)
     base = words(200, 5)
     rows = [(i, " ".join([*base[: i + 3], f"x{i}", *base[i + 3 :]])) for i in range(60)]
     rows += [(100 + i, " ".join([*base[:100], *words(90, 50 + i)])) for i in range(20)]
