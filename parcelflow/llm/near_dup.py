@@ -51,7 +51,7 @@ TREES = 18
 SMALL = 12
 DEEP = 24
 CHUNK = 2 << 20  # text bytes whose shingle sets a worker holds at once
-NODE = 1000
+NODE = 4000
 SKETCH_WORDS = 8
 # Agreements of the four-bit sketch at the threshold: 98 of 128, with a standard deviation of 4.8.
 SKETCH_LEAST = 74
