@@ -6,8 +6,11 @@ class, and a class is joined through its smallest document. Every class carries
 coordinates: a node picks each coordinate with probability ``1 / (SIMILARITY *
 COORDINATES)``, from a hash of the node alone, so similar classes take the same
 paths without knowing of each other. A pair at the threshold meets in about one
-child per node it shares; independent trees raise the recall to the target (see
-``TREES``).
+child per node it shares and is the likelier lost the more levels it passes, so
+the independent roots a class gets grow with the level it reaches: a class that
+is still in a branching node at a level takes part in as many more roots as
+keep pairs at the threshold from being missed there (see ``missed``). The
+recall thus holds for any ``NODE``, which is a matter of cost only.
 
 Nodes of up to ``SMALL`` classes are compared exhaustively. In larger ones each
 class is first compared with the node's smallest class. Copies by the thousand
@@ -15,7 +18,7 @@ are linked that way at the first node they share, and a node whose classes lie
 in one component is closed. Open nodes of up to ``NODE`` classes are then
 compared exhaustively inside a task, which holds that many sketches and sets;
 larger ones branch on, and dissimilar classes part. There is no cap: after
-``DEEP`` levels what is left is compared exhaustively by joins.
+``DEEP`` levels what is left is compared exhaustively.
 
 Compared pairs pass a sketch (four bits of each minwise token) five standard
 deviations below the threshold, and then the full shingle sets decide. Pairs
@@ -30,6 +33,8 @@ kept; repeated rows come back as often as they are; other columns are ignored
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,11 +50,13 @@ from parcelflow.llm.components import components
 COORDINATES = 128
 PERCENT = 75
 SIMILARITY = PERCENT / 100
-# 18 trees pick 24 coordinates at their roots. A pair at the threshold agrees at one with 0.75 and then
-# shares a child with 1 - 1/e, so it is missed with (1 - 0.75 * 0.632) ** 24 = 2e-7.
-TREES = 18
+# Every class takes part in 24 roots, which miss a pair at the threshold with 7e-7 in two levels. Deeper ones take as
+# many as keep that under MISS: 30, 41, 68 and 104 for 3, 4, 6 and 8 levels.
+ROOTS = 24
+MISS = 1e-5
 SMALL = 12
-DEEP = 24
+# A level multiplies rows by 4/3 besides the further roots; from here on comparing all is cheaper.
+DEEP = 8
 CHUNK = 2 << 20  # text bytes whose shingle sets a worker holds at once
 NODE = 4000
 SKETCH_WORDS = 8
@@ -89,12 +96,36 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
 # ---- trees ----------------------------------------------------------------------------------------------------
 
 
-def roots() -> np.ndarray:
-    """(tree, coordinate) pairs picked at the roots: 4/3 per tree, all different."""
+def missed(depth: int, n_roots: np.ndarray) -> np.ndarray:
+    """How likely a pair at the threshold shares no node ``depth`` levels below any of so many roots.
+
+    The root counts as a level. Averaged over the coordinates at which the two
+    agree, binomial(``COORDINATES``, ``SIMILARITY``), since all roots see the same.
+    """
+    agree = np.arange(COORDINATES + 1)
+    ways = np.array([math.comb(COORDINATES, int(k)) for k in agree], float)
+    weight = ways * SIMILARITY**agree * (1 - SIMILARITY) ** (COORDINATES - agree)
+    shared = np.ones(COORDINATES + 1)
+    for _ in range(depth - 1):
+        shared = 1 - (1 - shared / (SIMILARITY * COORDINATES)) ** agree
+    return weight @ (1 - agree / COORDINATES * shared)[:, None] ** np.asarray(n_roots)[None, :]
+
+
+@functools.cache
+def roots_for(depth: int) -> int:
+    """Roots that keep pairs of classes in nodes of ``depth`` levels from being missed more often than ``MISS``."""
+    lo = ROOTS
+    while True:
+        good = np.flatnonzero(missed(depth, np.arange(lo, lo + 512)) <= MISS)
+        if len(good):
+            return lo + int(good[0])
+        lo += 512
+
+
+def roots(n: int) -> np.ndarray:
+    """The coordinates picked at the first ``n`` roots: all of them in turn."""
     order = np.random.default_rng(7).permutation(COORDINATES)
-    per_tree = [2 if t % 3 == 2 else 1 for t in range(TREES)]
-    trees = np.repeat(np.arange(TREES), per_tree)
-    return np.column_stack([trees, order[: len(trees)]])
+    return np.resize(order, n)
 
 
 def child_nodes(nodes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,13 +143,19 @@ def child_nodes(nodes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.n
     return row, child.view(np.int64)
 
 
-def first_nodes(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes two levels below the roots."""
-    picked = roots()
-    seeds = mix(picked[:, 0].astype(np.uint64) * np.uint64(1 << 20) + picked[:, 1].astype(np.uint64))
-    nodes = mix(seeds[None, :] + tokens[:, picked[:, 1]].astype(np.uint64))
-    row, child = child_nodes(nodes.reshape(-1).view(np.int64), np.repeat(tokens, len(picked), axis=0))
-    return row // len(picked), child
+def first_nodes(tokens: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers and nodes two levels below the roots ``lo`` to ``hi`` (not included) of each row, some at a time."""
+    if not len(tokens):
+        return
+    picked = roots(int(hi.max()))
+    seeds = mix(np.arange(len(picked), dtype=np.uint64) * np.uint64(1 << 20) + picked.astype(np.uint64))
+    row = np.repeat(np.arange(len(tokens)), hi - lo)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(hi - lo) - hi, hi - lo)
+    for k in range(0, len(row), 1 << 15):
+        r, t = row[k : k + (1 << 15)], at[k : k + (1 << 15)]
+        nodes = mix(seeds[t] + tokens[r, picked[t]].astype(np.uint64))
+        below, child = child_nodes(nodes.view(np.int64), tokens[r])
+        yield r[below], child
 
 
 def _tokens(column: pa.Array) -> np.ndarray:
@@ -127,15 +164,19 @@ def _tokens(column: pa.Array) -> np.ndarray:
 
 
 def _branched(rows: DataFrame, first: bool) -> DataFrame:
-    """``node, rep`` one level on, from ``rep, tokens`` (two levels below the roots) or ``node, rep, tokens``."""
+    """``node, rep`` one level on from ``node, rep, tokens``, or two levels below the roots from ``rep, tokens, lo, hi``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2048):
                 part = batch.slice(lo, 2048)
                 tokens = _tokens(part.column("tokens"))
-                row, child = first_nodes(tokens) if first else child_nodes(part.column("node").to_numpy(), tokens)
-                yield pa.RecordBatch.from_arrays([pa.array(child), part.column("rep").take(pa.array(row))], ["node", "rep"])
+                if first:
+                    found = first_nodes(tokens, part.column("lo").to_numpy(), part.column("hi").to_numpy())
+                else:
+                    found = [child_nodes(part.column("node").to_numpy(), tokens)]
+                for row, child in found:
+                    yield pa.RecordBatch.from_arrays([pa.array(child), part.column("rep").take(pa.array(row))], ["node", "rep"])
 
     return rows.mapInArrow(run, "node long, rep long")
 
@@ -371,11 +412,13 @@ def similar_in_nodes(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT)
     return once.groupBy("node").cogroup(rows.groupBy("node")).applyInArrow(check, "a long, b long")
 
 
-def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
-    """``id, label`` of the classes (``rep, n_shingles, tokens, s0 ..``) that have a link; None without any."""
-    join = Join(docs, classes)
+def descend(join: Join, level: DataFrame) -> list[DataFrame]:
+    """Compares the classes of ``level`` (``node, rep``, two levels below roots) node by node, to the last level.
+
+    Returns ``rep, depth`` of the classes in nodes that branched, with the level they came to.
+    """
+    classes, reached = join.classes, []
     sketches = classes.drop("tokens")
-    level = stored(_branched(classes.select("rep", "tokens"), first=True), "nodes")
     for depth in range(2, DEEP + 1):
         open_ = join.labelled(level, "rep", "label").groupBy("node").agg(
             F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"), F.min("label").alias("_lo"), F.max("label").alias("_hi")
@@ -393,7 +436,7 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
         if nodes.isEmpty():
             break
         inside = large.join(nodes.where(F.col("n") <= NODE).select("node"), "node").join(sketches, "rep")
-        join.link(similar_in_nodes(stored(join.new(likely_in_nodes(inside)), "likely-in-nodes"), docs))
+        join.link(similar_in_nodes(stored(join.new(likely_in_nodes(inside)), "likely-in-nodes"), join.docs))
         nodes = nodes.where(F.col("n") > NODE)
         if nodes.isEmpty():
             break
@@ -401,8 +444,36 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
         if depth == DEEP:
             join.add(other_pairs(large, nodes))
             break
+        reached.append(stored(large.select("rep").distinct().withColumn("depth", F.lit(depth + 1)), "branching-classes"))
         level = stored(_branched(large.join(classes.select("rep", "tokens"), "rep").select("node", "rep", "tokens"), first=False), "nodes")
-    return join.labels
+    return reached
+
+
+def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """``id, label`` of the classes (``rep, n_shingles, tokens, s0 ..``) that have a link; None without any."""
+    join = Join(docs, classes)
+    # a level ahead, since among more roots some lead deeper; that saves rounds
+    ahead = [roots_for(2), roots_for(2), *(roots_for(min(d + 1, DEEP)) for d in range(3, DEEP + 1))]
+    needed = F.element_at(F.array(*(F.lit(n) for n in ahead)), F.col("depth"))
+    level = classes.select("rep", "tokens", F.lit(0).cast("long").alias("lo"), F.lit(roots_for(2)).cast("long").alias("hi"))
+    depths: DataFrame | None = None
+    while True:
+        reached = descend(join, stored(_branched(level, first=True), "nodes"))
+        if not reached:
+            return join.labels
+        found = functools.reduce(DataFrame.union, reached).groupBy("rep").agg(F.max("depth").alias("depth"))
+        old = F.lit(2) if depths is None else F.coalesce("_old", F.lit(2))
+        if depths is not None:
+            found = found.join(depths.withColumnRenamed("depth", "_old"), "rep", "full")
+        depths = found.select("rep", F.greatest("depth", old).alias("depth"), old.alias("_old"))
+        depths = stored(depths, "depths")
+        more = depths.where("depth > _old").withColumn("hi", needed.cast("long"))
+        more = more.select("rep", "hi", F.col("_old").alias("depth")).withColumn("lo", needed.cast("long")).drop("depth")
+        depths = depths.drop("_old")
+        more = stored(more.where("hi > lo"), "more-roots")
+        if more.isEmpty():
+            return join.labels
+        level = more.join(classes.select("rep", "tokens"), "rep")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

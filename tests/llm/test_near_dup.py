@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 
 from parcelflow.llm import near_dup
@@ -72,3 +73,51 @@ def test_stage_keeps_one_row_of_each(frame, words):
 
 def test_empty_table(frame):
     assert near_dup.near_duplicates(frame([])).count() == 0 and near_dup.one_of_each(frame([])).count() == 0
+
+
+def test_roots_hold_the_target_at_every_level():
+    assert near_dup.missed(2, [near_dup.roots_for(2)])[0] < 1e-6
+    for depth in range(3, near_dup.DEEP + 1):
+        n = near_dup.roots_for(depth)
+        assert near_dup.missed(depth, [n])[0] <= near_dup.MISS < near_dup.missed(depth, [n - 1])[0]
+
+
+def test_pairs_at_the_threshold_meet_at_the_last_level():
+    source = np.random.default_rng(3)
+    pairs = []
+    for _ in range(400):
+        common, own = source.integers(0, 1 << 63, 300, np.uint64), source.integers(0, 1 << 63, (2, 50), np.uint64)
+        pairs += [np.concatenate([common, x]) for x in own]
+    tokens = near_dup.minwise(pairs)
+
+    def together(n_roots):
+        """Pairs with a common node at the last level below so many roots."""
+        n = np.full(len(pairs), n_roots)
+        parts = list(near_dup.first_nodes(tokens, 0 * n, n))
+        row, node = (np.concatenate([x[k] for x in parts]) for k in range(2))
+        for depth in range(2, near_dup.DEEP + 1):
+            if depth > 2:
+                at, node = near_dup.child_nodes(node, tokens[row])
+                row = row[at]
+            sides = {k: set(zip((row[row % 2 == k] // 2).tolist(), node[row % 2 == k].tolist(), strict=True)) for k in range(2)}
+            keep = [x in sides[0] and x in sides[1] for x in zip((row // 2).tolist(), node.tolist(), strict=True)]
+            row, node = row[keep], node[keep]
+        return len(set((row // 2).tolist()))
+
+    assert together(near_dup.ROOTS) < 400
+    assert together(near_dup.roots_for(near_dup.DEEP)) == 400
+
+
+def test_nodes_that_branch_get_further_roots(frame, words, monkeypatch):
+    """Pairs 0.76 alike among classes 0.69 alike, in nodes far above NODE."""
+    monkeypatch.setattr(near_dup, "SMALL", 2)
+    monkeypatch.setattr(near_dup, "NODE", 6)
+    monkeypatch.setattr(near_dup, "DEEP", 3)
+    asked = []
+    first_nodes = near_dup._branched
+    monkeypatch.setattr(near_dup, "_branched", lambda rows, first: (asked.append(rows.agg({"hi": "max"}).first()[0]) if first else None, first_nodes(rows, first))[1])
+    base = words(124, 4)
+    rows = [(i, " ".join([*base, *(f"p{i // 2}_{j}" for j in range(7)), *(f"o{i}_{j}" for j in range(20))])) for i in range(60)]
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame(rows)).collect()}
+    assert got == {i: i // 2 * 2 for i, _ in rows}
+    assert asked[0] == near_dup.ROOTS and asked[-1] >= near_dup.roots_for(3)
