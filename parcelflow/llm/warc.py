@@ -21,12 +21,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -217,6 +217,15 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema, size) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
 
+def archive_name(file: str, root: str) -> str:
+    """The file's path below ``root``. Files of one write task are named alike in every folder.
+
+    Spark gives ``file`` with its scheme, which may differ from the root's.
+    """
+    inside = urlsplit(root).path.strip("/") + "/"
+    return file[file.index(inside) + len(inside) :] if inside in file else file
+
+
 def archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
@@ -232,7 +241,7 @@ def convert_arc(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path_, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                name = os.path.basename(path_.as_py())
+                name = archive_name(path_.as_py(), path)
                 rows = (convert_record(name, r) for r in arc_records(unzipped(content.as_py())))
                 yield from _batched(rows, schema, lambda row: len(row[-1]) + 300)
 

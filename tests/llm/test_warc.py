@@ -55,3 +55,16 @@ def test_base32(spark):
     digest = hashlib.sha1(b"a").hexdigest()
     got = spark.range(1).select(warc.base32(F.lit(digest)).alias("x")).first().x
     assert got == base64.b32encode(bytes.fromhex(digest)).decode()
+
+
+def test_records_of_alike_archives_have_their_own_ids(spark, scratch, monkeypatch):
+    """Many archives written by few tasks, every page with a null URL."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 4000)
+    rows = [(i, None, f"{i:04d}" + "x" * 1196, None, "id") for i in range(120)]
+    rows += [(1000 + i, None, "y" * 1200, None, "id") for i in range(40)]
+    pages = _pages(spark, rows)
+    warc.write_arc(pages.coalesce(1), f"{scratch}/arc")
+    ids = [r.record_id for r in warc.convert_arc(spark, f"{scratch}/arc").select("record_id").collect()]
+    assert len(ids) > 160 and len(set(ids)) == len(ids)
+    got = sorted((r.page_id, r.record_type, r.refers_to) for r in warc.archive_pages(pages).collect())
+    assert got == [(i, "response", None) for i in range(120)] + [(1000 + i, "revisit", 1039) for i in range(39)] + [(1039, "response", None)]
