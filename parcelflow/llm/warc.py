@@ -114,6 +114,7 @@ class ArcRecord:
     fields: dict[str, str]
     block: bytes
     truncated: bool
+    version_block: bool = False
 
 
 def unzipped(data: bytes) -> bytes:
@@ -129,9 +130,9 @@ def unzipped(data: bytes) -> bytes:
 
 
 def arc_records(data: bytes) -> Iterator[ArcRecord]:
-    """Records of one ARC file, its version block first."""
+    """Records of one ARC file, its version block first; a ``filedesc:`` URL further on is a page's."""
     names = ARC_FIELDS[1].split()
-    at = 0
+    at, first = 0, True
     while at < len(data):
         end = data.find(b"\n", at)
         if end < 0:
@@ -139,14 +140,15 @@ def arc_records(data: bytes) -> Iterator[ArcRecord]:
         line = data[at:end].decode("utf-8", "replace").rstrip("\r")
         # the URL of an old record may hold blanks, so fields count from the right
         values = line.rsplit(" ", len(names) - 1)
-        if line.startswith("filedesc://"):
+        about_archive = first and line.startswith("filedesc:")
+        if about_archive:
             values = line.rsplit(" ", len(ARC_FIELDS[1].split()) - 1)
         if len(values) < 5 or not values[-1].isdigit():
             at = end + 1
             continue
         length = int(values[-1])
         block = data[end + 1 : end + 1 + length]
-        if line.startswith("filedesc://"):
+        if about_archive:
             fields = dict(zip(ARC_FIELDS[1].split(), values, strict=True))
             about = block.decode("utf-8", "replace").split("\n")
             version = int(about[0][:1]) if about[0][:1] in ("1", "2") else 1
@@ -154,7 +156,8 @@ def arc_records(data: bytes) -> Iterator[ArcRecord]:
             names = declared if len(declared) >= 5 else ARC_FIELDS[version].split()
         else:
             fields = dict(zip(names, values, strict=True))
-        yield ArcRecord(at, fields, block, len(block) < length)
+        yield ArcRecord(at, fields, block, len(block) < length, about_archive)
+        first = False
         at = end + 1 + length
         if data[at : at + 1] == b"\n":
             at += 1
@@ -168,10 +171,10 @@ def iso_date(digits: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
-def record_type(url: str, content_type: str, block: bytes) -> str:
-    if url.startswith("filedesc:"):
+def record_type(record: ArcRecord) -> str:
+    if record.version_block:
         return "warcinfo"
-    if block[:5] == b"HTTP/":
+    if record.block[:5] == b"HTTP/":
         return "response"
     return "resource"
 
@@ -193,7 +196,7 @@ def _page_id(head: dict[bytes, bytes]) -> int | None:
 def convert_record(name: str, record: ArcRecord) -> tuple:
     f = record.fields
     url, date = f.get("URL", "urn:none"), f.get("Archive-date", "")
-    kind = record_type(url, f.get("Content-type", ""), record.block)
+    kind = record_type(record)
     head_bytes, head = split_http(record.block)
     payload = record.block[head_bytes:]
     return (

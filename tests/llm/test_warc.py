@@ -68,3 +68,9 @@ def test_records_of_alike_archives_have_their_own_ids(spark, scratch, monkeypatc
     assert len(ids) > 160 and len(set(ids)) == len(ids)
     got = sorted((r.page_id, r.record_type, r.refers_to) for r in warc.archive_pages(pages).collect())
     assert got == [(i, "response", None) for i in range(120)] + [(1000 + i, "revisit", 1039) for i in range(39)] + [(1039, "response", None)]
+
+
+def test_pages_whose_url_looks_like_a_version_block(spark):
+    rows = [(i, ["filedesc:x", "filedesc://x.arc", "http://h/%d" % i][i % 3], f"<p>{i}</p>\n1 0 a\nb c d e f", None, "id") for i in range(30)]
+    got = warc.archive_pages(_pages(spark, rows)).collect()
+    assert sorted((r.page_id, r.record_type, r.payload_bytes) for r in got) == [(i, "response", len(h)) for i, _, h, _, _ in rows]
