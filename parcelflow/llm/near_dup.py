@@ -18,7 +18,8 @@ are linked that way at the first node they share, and a node whose classes lie
 in one component is closed. Open nodes of up to ``NODE`` classes are then
 compared exhaustively inside a task, which holds that many sketches and sets;
 larger ones branch on, and dissimilar classes part. There is no cap: after
-``DEEP`` levels what is left is compared exhaustively.
+``DEEP`` levels what is left is compared exhaustively, in tasks that hold two
+blocks of a node's classes each.
 
 Compared pairs pass a sketch (four bits of each minwise token) five standard
 deviations below the threshold, and then the full shingle sets decide. Pairs
@@ -316,13 +317,15 @@ def first_pairs(rows: DataFrame) -> DataFrame:
     return star.union(rest).distinct()
 
 
-def other_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Every pair of a node in two components: classes outside the node's largest component against all."""
-    left = rows.join(nodes.select("node", "major"), "node").where("label <> major")
-    left = left.select("node", F.col("rep").alias("_x"), F.col("label").alias("_lx"))
-    right = rows.select("node", F.col("rep").alias("_y"), F.col("label").alias("_ly"))
-    pairs = left.join(right, "node").where("_lx <> _ly")
-    return pairs.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).distinct()
+def in_blocks(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, rep, label`` of the ``nodes`` (``node, n``) as nodes of about ``NODE`` classes, two blocks each.
+
+    Every pair of a node has both classes in one of them at least.
+    """
+    rows = rows.select("node", "rep", "label").join(nodes.select("node", F.ceil(2 * F.col("n") / NODE).alias("_blocks")), "node")
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_blocks")))
+    rows = rows.withColumn("_other", F.explode(F.expr("sequence(0L, _blocks - 1)")))
+    return rows.select(F.xxhash64("node", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("node"), "rep", "label")
 
 
 def likely_in_nodes(members: DataFrame) -> DataFrame:
@@ -430,20 +433,20 @@ def descend(join: Join, level: DataFrame) -> list[DataFrame]:
         large = stored(join.labelled(rows.where(F.col("n") > SMALL).select("node", "rep"), "rep", "label"), "large-nodes")
         parts = large.groupBy("node", "label").agg(F.count(F.lit(1)).alias("_c"))
         nodes = parts.groupBy("node").agg(
-            F.sum("_c").alias("n"), F.max("_c").alias("_most"), F.max_by("label", F.struct("_c", "label")).alias("major")
+            F.sum("_c").alias("n"), F.max("_c").alias("_most")
         )
         nodes = stored(nodes.where("n > _most"), "large-open-nodes")
         if nodes.isEmpty():
             break
-        inside = large.join(nodes.where(F.col("n") <= NODE).select("node"), "node").join(sketches, "rep")
-        join.link(similar_in_nodes(stored(join.new(likely_in_nodes(inside)), "likely-in-nodes"), join.docs))
+        inside = large.join(nodes.where(F.col("n") <= NODE).select("node"), "node").select("node", "rep", "label")
         nodes = nodes.where(F.col("n") > NODE)
-        if nodes.isEmpty():
-            break
-        large = large.join(nodes.select("node"), "node")
         if depth == DEEP:
-            join.add(other_pairs(large, nodes))
+            inside = inside.union(in_blocks(large, nodes))
+        likely = stored(join.new(likely_in_nodes(inside.join(sketches, "rep"))), "likely-in-nodes")
+        join.link(similar_in_nodes(likely, join.docs))
+        if depth == DEEP or nodes.isEmpty():
             break
+        large = large.join(nodes.select("node"), "node")
         reached.append(stored(large.select("rep").distinct().withColumn("depth", F.lit(depth + 1)), "branching-classes"))
         level = stored(_branched(large.join(classes.select("rep", "tokens"), "rep").select("node", "rep", "tokens"), first=False), "nodes")
     return reached

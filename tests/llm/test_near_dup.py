@@ -121,3 +121,13 @@ def test_nodes_that_branch_get_further_roots(frame, words, monkeypatch):
     got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame(rows)).collect()}
     assert got == {i: i // 2 * 2 for i, _ in rows}
     assert asked[0] == near_dup.ROOTS and asked[-1] >= near_dup.roots_for(3)
+
+
+def test_blocks_of_a_large_node_bring_every_pair_together(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "NODE", 20)
+    rows = spark.range(100).selectExpr("7L AS node", "id AS rep", "id AS label")
+    held = {}
+    for r in near_dup.in_blocks(rows, spark.createDataFrame([(7, 100)], "node long, n long")).distinct().collect():
+        held.setdefault(r.node, set()).add(r.rep)
+    assert max(map(len, held.values())) < 50
+    assert {(a, b) for x in held.values() for a in x for b in x} == {(a, b) for a in range(100) for b in range(100)}
