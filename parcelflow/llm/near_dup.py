@@ -60,6 +60,7 @@ SMALL = 12
 DEEP = 8
 CHUNK = 2 << 20  # text bytes whose shingle sets a worker holds at once
 NODE = 4000
+NODE_SHINGLES = 4 << 20  # 32 MB of sets, which a task copies about three times
 SKETCH_WORDS = 8
 # Agreements of the four-bit sketch at the threshold: 98 of 128, with a standard deviation of 4.8.
 SKETCH_LEAST = 74
@@ -222,7 +223,7 @@ def similar_sets(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> D
     wanted = stored(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct(), "wanted")
     # a Bloom filter keeps the other texts out of the shuffles; the joins below are exact
     texts = with_possible(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", wanted, "_id").where("possible")
-    texts = stored(texts.select("doc_id", "text"), "wanted-texts")
+    texts = stored(texts.select("doc_id", "text").distinct(), "wanted-texts")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
@@ -375,13 +376,22 @@ def likely_in_nodes(members: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "node long, a long, b long")
 
 
-def similar_in_nodes(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def similar_in_nodes(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs ``a, b`` of ``node, a, b`` whose full sets reach ``percent``.
 
     A pair is checked in one node only, and a node gets each of its sets once.
+    Nodes whose sets hold more than ``NODE_SHINGLES`` together, by ``classes``
+    (``rep, n_shingles``), are not gathered: their pairs are checked in chunks.
     """
     once = stored(pairs.groupBy("a", "b").agg(F.min("node").alias("node")), "node-pairs")
     wanted = once.select("node", F.col("a").alias("rep")).union(once.select("node", "b")).distinct()
+    heavy = wanted.join(classes.select("rep", "n_shingles"), "rep").groupBy("node").agg(F.sum("n_shingles").alias("_all"))
+    heavy = stored(heavy.where(F.col("_all") > NODE_SHINGLES).select("node"), "heavy-nodes")
+    apart = None
+    if not heavy.isEmpty():
+        apart = similar_sets(once.join(heavy, "node").select("a", "b"), docs, percent)
+        once = stored(once.join(heavy, "node", "left_anti"), "node-pairs")
+    wanted = once.select("node", F.col("a").alias("rep")).union(once.select("node", "b")).distinct()
     wanted = stored(wanted, "wanted-sets")
     ids = stored(wanted.select("rep").distinct(), "wanted")
     texts = with_possible(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", ids, "rep")
@@ -391,6 +401,7 @@ def similar_in_nodes(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT)
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["rep", "shingles"])
 
     sets = mapped(texts.where("possible").select("doc_id", "text"), sets_of, "rep long, shingles binary", most=CHUNK)
+    sets = sets.dropDuplicates(["rep"])  # a doc_id may have many rows
     rows = wanted.join(sets, "rep").select("node", "rep", "shingles")
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -412,7 +423,8 @@ def similar_in_nodes(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT)
         a, b = ([f[k] for f in found] for k in range(2))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return once.groupBy("node").cogroup(rows.groupBy("node")).applyInArrow(check, "a long, b long")
+    found = once.select("node", "a", "b").groupBy("node").cogroup(rows.groupBy("node")).applyInArrow(check, "a long, b long")
+    return found if apart is None else found.union(apart)
 
 
 def descend(join: Join, level: DataFrame) -> list[DataFrame]:
@@ -443,7 +455,7 @@ def descend(join: Join, level: DataFrame) -> list[DataFrame]:
         if depth == DEEP:
             inside = inside.union(in_blocks(large, nodes))
         likely = stored(join.new(likely_in_nodes(inside.join(sketches, "rep"))), "likely-in-nodes")
-        join.link(similar_in_nodes(likely, join.docs))
+        join.link(similar_in_nodes(likely, join.docs, classes))
         if depth == DEEP or nodes.isEmpty():
             break
         large = large.join(nodes.select("node"), "node")

@@ -131,3 +131,17 @@ def test_blocks_of_a_large_node_bring_every_pair_together(spark, monkeypatch):
         held.setdefault(r.node, set()).add(r.rep)
     assert max(map(len, held.values())) < 50
     assert {(a, b) for x in held.values() for a in x for b in x} == {(a, b) for a in range(100) for b in range(100)}
+
+
+@pytest.mark.parametrize("most", [50, 1 << 20])
+def test_nodes_of_long_texts_and_repeated_rows(frame, spark, words, monkeypatch, most):
+    monkeypatch.setattr(near_dup, "NODE_SHINGLES", most)
+    base = words(100, 8)
+    check, sets = near_dup.similar_sets, []
+    monkeypatch.setattr(near_dup, "similar_sets", lambda pairs, docs, percent=75: (sets.append(pairs.count()), check(pairs, docs, percent))[1])
+    rows = [(i, " ".join([*base, f"x{i}"])) for i in range(4) for _ in range(5)] + [(9, " ".join(words(100, 9)))]
+    pairs = spark.createDataFrame([(1, 0, 1), (1, 1, 2), (2, 1, 3), (1, 0, 9)], "node long, a long, b long")
+    classes = spark.createDataFrame([(i, 97) for i in (0, 1, 2, 3, 9)], "rep long, n_shingles long")
+    got = near_dup.similar_in_nodes(pairs, frame(rows), classes).collect()
+    assert sorted((r.a, r.b) for r in got) == [(0, 1), (1, 2), (1, 3)]
+    assert sets == ([4] if most == 50 else [])
