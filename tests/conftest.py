@@ -11,9 +11,6 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from parcelflow.session import DEFAULT_CONF, ensure_checkpoint_dir  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -3,7 +3,7 @@ import os
 from parcelflow.__main__ import main
 from parcelflow.sinks.warehouse import Warehouse
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 
 def test_reports_job_writes_every_report(spark, scratch):

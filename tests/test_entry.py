@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry_mod
 from tools.oracle_check import compare, duck
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 
 def test_entry_runs_on_smoke_data(spark):

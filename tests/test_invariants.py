@@ -9,7 +9,7 @@ from parcelflow.operators.reports import PIVOT_DAYS
 from parcelflow.plans.first_load import FirstLoad
 from parcelflow.sources.driver_tables import fleet_tables_from_driver_data
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 AS_OF = dt.date(2001, 9, 1)
 

@@ -7,7 +7,7 @@ from parcelflow.plans import catalog
 from parcelflow.sources import fleet_tables_from_parquet, write_fleet_tables
 from parcelflow.sources.driver_tables import fleet_tables_from_driver_data
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 AS_OF = dt.date(2001, 9, 1)
 

@@ -11,7 +11,7 @@ from parcelflow.sources.staging import raw_field, stage_raw_json
 from parcelflow.sources.tables import FleetTables
 from parcelflow.streaming import run_available_now
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 AS_OF = dt.date(2001, 9, 1)
 
