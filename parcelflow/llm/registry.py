@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parcelflow.llm import (
     decontamination,
+    filter_audit,
+    fingerprints,
     near_dup,
     packing,
     pii,
@@ -17,6 +19,7 @@ from parcelflow.llm import (
     token_counts,
     url_filter,
     warc,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,10 +35,13 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_repeats": repeats.op9_repeats,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_fingerprints": fingerprints.op11_fingerprints,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 # Queries without an entry are beyond SQL or too slow there; tests/llm holds them against brute force.
-ORACLES: dict[str, str] = {"op1_warc": warc.OP1_SQL, "op5_url_filter": url_filter.OP5_SQL}
+ORACLES: dict[str, str] = {"op1_warc": warc.OP1_SQL, "op5_url_filter": url_filter.OP5_SQL, "op12_filter_audit": filter_audit.OP12_SQL}
 
 
 def queries() -> dict[str, Query]:
