@@ -201,9 +201,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     ends = done.where("place is not null").select("doc_id", "text", "place", "first")
     places = ends.where("first").select("place")  # one row per range
-    ahead = places.select("place", F.lead("place").over(Window.orderBy("place")).alias("_next"))
-    start = places.agg(F.min("place").alias("_start"))
-    ahead = ahead.join(F.broadcast(start)).select("place", F.coalesce("_next", "_start").alias("next_place"))
+    following = F.coalesce(F.lead("place").over(Window.orderBy("place")), F.min("place").over(Window.partitionBy()))
+    ahead = places.select("place", following.alias("next_place"))
     heads = ends.where("first").select(F.col("place").alias("next_place"), F.col("text").alias("following"))
     tails = ends.where("not first").join(ahead, "place").join(heads, "next_place").select("doc_id", "text", "following")
 
