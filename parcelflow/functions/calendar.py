@@ -194,3 +194,13 @@ def hour_12_label(hour: Column | str) -> Column:
     h = _c(hour)
     h12 = F.when(h % 12 == 0, 12).otherwise(h % 12)
     return F.format_string("%02d:00 %s", h12, am_pm(h))
+
+
+def day_mask(date: Column | str) -> Column:
+    """The day of the month as one bit; masks of a month are joined with ``bit_or``."""
+    return F.call_function("shiftleft", F.lit(1), F.dayofmonth(date) - 1)
+
+
+def days_in_mask(mask: Column | str) -> Column:
+    """How many days a mask holds."""
+    return F.bit_count(mask)

@@ -121,14 +121,18 @@ def stage_customers(transformed: DataFrame) -> DataFrame:
     ).select("customer_name", "destination_city")
 
 
-def customer_inserts(staged: DataFrame, existing: DataFrame, as_of: _dt.date | str) -> DataFrame:
+def customer_inserts(
+    staged: DataFrame, existing: DataFrame, as_of: _dt.date | str, max_key: int | None = None
+) -> DataFrame:
     """New ``dim_customer`` rows with keys continuing after the current maximum.
 
     New names are numbered in name order by :func:`assign_sequential_keys`;
-    ``customer_id`` equals the key (trap T18).
+    ``customer_id`` equals the key (trap T18). With ``max_key`` given,
+    ``existing`` needs to hold the staged names only.
     """
     new = merge_insert_if_absent(staged, existing, ["customer_name"])
-    max_key = existing.agg(F.max("customer_key")).first()[0] or 0
+    if max_key is None:
+        max_key = existing.agg(F.max("customer_key")).first()[0] or 0
     keyed = assign_sequential_keys(new, ["customer_name"], int(max_key) + 1, "customer_key")
     rows = keyed.withColumns(
         {

@@ -8,13 +8,14 @@ zero-to-null, deliveries per trip *after* those filters, then the ratios.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import calendar as cal
 from parcelflow.functions import metrics as m
-from parcelflow.operators.keys import join_group_values
+from parcelflow.operators.keys import join_group_values, join_heavy_hitters
 
 # Fixed value: the extract's 35 columns, in order.
 EXTRACT_COLUMNS = [
@@ -36,7 +37,7 @@ DERIVED_COLUMNS = [
 ]
 
 
-def _kept_by_transform() -> Column:
+def kept_by_transform() -> Column:
     """The transform's row filters, all on delivery columns."""
     return (
         F.col("delivered_datetime").isNotNull()
@@ -45,11 +46,6 @@ def _kept_by_transform() -> Column:
     )
 
 
-def kept_rows(deliveries: DataFrame) -> DataFrame:
-    """The deliveries that the transform keeps."""
-    return deliveries.where(_kept_by_transform())
-
-
 def extract_daily(
     deliveries: DataFrame,
     trips: DataFrame,
@@ -59,6 +55,7 @@ def extract_daily(
     as_of: _dt.date | str,
     days: int = 90,
     with_trip_sizes: bool = False,
+    hot_trips: Sequence[int] = (),
 ) -> DataFrame:
     """Denormalised deliveries of the last ``days`` days (35 columns).
 
@@ -74,7 +71,9 @@ def extract_daily(
     deliveries that pass the transform's filters per trip gives the same
     number. The partial counts join trips on ``trip_id`` like the
     deliveries do, so no extra shuffle of the batch is needed (none at all
-    when deliveries and trips are co-bucketed on ``trip_id``).
+    when deliveries and trips are co-bucketed on ``trip_id``). Where trips
+    come with ``deliveries_in_trip`` already, it is taken as it is. Deliveries
+    of ``hot_trips`` are not shuffled (``join_heavy_hitters``).
     """
     since = cal.days_before(as_of, days)
     d = deliveries.where(F.col("delivered_datetime") >= F.lit(since)).select(
@@ -84,7 +83,7 @@ def extract_daily(
     )
     t = trips.select(
         "trip_id", "departure_datetime", "arrival_datetime", "fuel_consumed_liters",
-        "vehicle_id", "driver_id", "route_id",
+        "vehicle_id", "driver_id", "route_id", *(c for c in ("deliveries_in_trip",) if c in trips.columns),
     )
     r = routes.select(
         "route_id", "origin_city", "destination_city", "distance_km", "toll_cost", "route_code",
@@ -98,15 +97,14 @@ def extract_daily(
         "driver_id", "first_name", "last_name", "hire_date", "employee_code", "license_number",
         "license_expiry", "phone", F.col("status").alias("driver_status"),
     )
-    extra: list[str] = []
-    if with_trip_sizes:
-        sizes = d.where(_kept_by_transform()).groupBy("trip_id").agg(
+    extra = ["deliveries_in_trip"] if with_trip_sizes or "deliveries_in_trip" in t.columns else []
+    if extra and "deliveries_in_trip" not in t.columns:
+        sizes = d.where(kept_by_transform()).groupBy("trip_id").agg(
             F.count(F.lit(1)).alias("deliveries_in_trip")
         )
         t = t.join(sizes, "trip_id", "left")
-        extra = ["deliveries_in_trip"]
     return (
-        d.join(t, "trip_id")
+        join_heavy_hitters(d, t, "trip_id", list(hot_trips))
         .join(r, "route_id")
         .join(v, "vehicle_id")
         .join(dr, "driver_id", "left")

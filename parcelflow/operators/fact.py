@@ -47,22 +47,54 @@ def fact_rows(transformed: DataFrame, maps: dict[str, DataFrame], batch_id: int)
     return df.select(*FACT_COLUMNS)
 
 
-def daily_totals(fact: DataFrame) -> DataFrame:
-    """Per date: rows, revenue, mean delivery minutes, on-time rate and the last batch that touched it.
+def daily_sums(fact: DataFrame) -> DataFrame:
+    """Per date, the sums that the totals are made of (``schemas.TOTALS_STATE``)."""
+    zero = F.lit(0).cast("decimal(38,2)")
+    return fact.groupBy("date_key").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum("revenue_per_delivery").cast("decimal(38,2)"), zero).alias("revenue"),
+        F.coalesce(F.sum("delivery_time_minutes").cast("decimal(38,2)"), zero).alias("minutes"),
+        F.count("delivery_time_minutes").alias("n_minutes"),
+        F.count_if("is_on_time").alias("n_on_time"),
+        F.max("etl_batch_id").alias("etl_batch_id"),
+    )
+
+
+def changed_sums(sums: DataFrame, loaded: DataFrame, replaced: DataFrame, batch_id: int) -> DataFrame:
+    """Sums per date after a batch loaded some fact rows in place of others; dates without rows go."""
+    names = ["n_rows", "revenue", "minutes", "n_minutes", "n_on_time"]
+    batch = F.lit(int(batch_id)).cast("bigint").alias("etl_batch_id")
+    plus = daily_sums(loaded).select("date_key", *names, batch)
+    minus = daily_sums(replaced).select("date_key", *((-F.col(c)).alias(c) for c in names), batch)
+    parts = sums.select("date_key", *names, "etl_batch_id").unionByName(plus).unionByName(minus)
+    return (
+        parts.groupBy("date_key")
+        .agg(*(F.sum(c).alias(c) for c in names), F.max("etl_batch_id").alias("etl_batch_id"))
+        .where(F.col("n_rows") > 0)
+    )
+
+
+def totals_of(sums: DataFrame) -> DataFrame:
+    """``daily_totals`` rows from the sums.
 
     Means are taken as exact DECIMAL sum / count and rounded half up, so a
     large day cannot pick up a double-rounding error.
     """
-    on_time = F.when(F.col("is_on_time"), 1).otherwise(0).cast("decimal(20,0)")
-    mean_minutes = F.sum("delivery_time_minutes") / F.count("delivery_time_minutes").cast("decimal(20,0)")
-    rate = F.sum(on_time) / F.count(F.lit(1)).cast("decimal(20,0)")
-    return fact.groupBy("date_key").agg(
-        F.count(F.lit(1)).alias("num_entregas"),
-        F.sum("revenue_per_delivery").cast("decimal(18,2)").alias("total_revenue"),
-        F.round(mean_minutes, 2).cast("decimal(18,2)").alias("avg_delivery_time"),
-        F.round(rate, 2).cast("decimal(18,2)").alias("on_time_rate"),
-        F.max("etl_batch_id").alias("etl_batch_id"),
-    ).select("date_key", "num_entregas", "total_revenue", "avg_delivery_time", "on_time_rate", "etl_batch_id")
+    whole = lambda c: F.col(c).cast("decimal(20,0)")
+    minutes = F.col("minutes").cast("decimal(22,2)") / F.nullif(whole("n_minutes"), F.lit(0).cast("decimal(20,0)"))
+    return sums.select(
+        "date_key",
+        F.col("n_rows").alias("num_entregas"),
+        F.col("revenue").cast("decimal(18,2)").alias("total_revenue"),
+        F.round(minutes, 2).cast("decimal(18,2)").alias("avg_delivery_time"),
+        F.round(whole("n_on_time") / whole("n_rows"), 2).cast("decimal(18,2)").alias("on_time_rate"),
+        "etl_batch_id",
+    )
+
+
+def daily_totals(fact: DataFrame) -> DataFrame:
+    """Per date: rows, revenue, mean delivery minutes, on-time rate and the last batch that touched it."""
+    return totals_of(daily_sums(fact))
 
 
 def batch_count(fact: DataFrame, batch_id: int) -> DataFrame:

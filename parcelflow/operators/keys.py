@@ -17,6 +17,10 @@ from parcelflow.session import ensure_checkpoint_dir
 
 # Tasks that share the rows of one key in ``join_group_values``.
 HOT_KEY_SALTS = 16
+# A key with more than one part in so many of all rows is joined without moving its rows.
+HEAVY_KEYS = 32
+# 64-bit words of the largest lookup filter.
+FILTER_WORDS = 1 << 20
 
 
 def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -87,6 +91,56 @@ def join_group_values(df: DataFrame, groups: DataFrame, key: str, salts: int = H
     return left.join(right, [key, "_salt"], "left").drop("_salt")
 
 
+def heavy_hitters(counts: DataFrame, key: str, count: str = "n", most: int = HEAVY_KEYS) -> list:
+    """Keys that hold more than one part in ``most`` of all rows; at most ``most`` keys do."""
+    total = counts.agg(F.sum(count)).first()[0] or 0
+    return [r[0] for r in counts.where(F.col(count) * most > F.lit(total)).select(key).collect()]
+
+
+def join_heavy_hitters(left: DataFrame, right: DataFrame, key: str, heavy: list) -> DataFrame:
+    """Inner join in which the rows of ``heavy`` keys stay where they are.
+
+    ``right`` has one row per key, so its heavy part has ``len(heavy)`` rows and
+    is broadcast; all other keys are shuffled, and none of them holds much.
+    """
+    if not heavy:
+        return left.join(right, key)
+    is_heavy = F.col(key).isin(heavy)
+    spread = left.where(is_heavy).join(F.broadcast(right.where(is_heavy)), key)
+    return spread.unionByName(left.where(~is_heavy).join(right.where(~is_heavy), key))
+
+
+def _filter_word(key: str, words: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(words)).cast("int")
+
+
+def _filter_bits(key: str) -> Column:
+    """Three of 64 bits by the key's second hash."""
+    h = F.xxhash64(key, F.lit("bits"))
+    one = F.lit(1).cast("long")
+    places = [F.shiftrightunsigned(h, 6 * k).bitwiseAND(63).cast("int") for k in range(3)]
+    bits = [F.call_function("shiftleft", one, place) for place in places]
+    return bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
+
+
+def probably_among(df: DataFrame, key: str, wanted: DataFrame, expected: int) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be among ``wanted``: all that are, and a few others.
+
+    A Bloom filter of the wanted keys, 64-bit words with about four keys each,
+    is broadcast (``FILTER_WORDS`` words at most, 16 MB) and tested where ``df``
+    is scanned, so an exact join behind it shuffles about as many rows as match.
+    With many more keys than the filter has room for, more rows pass.
+    """
+    words = 1
+    while words < FILTER_WORDS and 4 * words < expected:
+        words *= 2
+    table = wanted.where(F.col(key).isNotNull()).groupBy(_filter_word(key, words).alias("_word")).agg(
+        F.bit_or(_filter_bits(key)).alias("_bits")
+    )
+    tested = df.withColumn("_word", _filter_word(key, words)).join(F.broadcast(table), "_word")
+    return tested.where(F.col("_bits").bitwiseAND(_filter_bits(key)) == _filter_bits(key)).select(*df.columns)
+
+
 def lookup_symmetric_default(
     df: DataFrame,
     a: str,

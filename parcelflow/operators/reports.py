@@ -237,15 +237,16 @@ def driver_ranking(
     Ranks are computed per calendar month; the output labels the month by
     name and is ordered by that name descending, as in the reference.
     """
-    per_trip_day = _deliveries_per_trip(
-        _recent_delivered(deliveries, as_of, months).withColumn("_day", F.to_date("delivered_datetime")),
-        "_day",
+    recent = _recent_delivered(deliveries, as_of, months)
+    per_trip = (
+        recent.groupBy("trip_id", cal.month_trunc("delivered_datetime").alias("_month"))
+        .agg(F.count("delivery_id").alias("_n"), F.bit_or(cal.day_mask("delivered_datetime")).alias("_mask"))
     )
+    # days as bits of a mask: they add up like the counts, with no row per day
     metrics = (
-        per_trip_day.join(trips.select("trip_id", "driver_id"), "trip_id")
-        .withColumn("_month", cal.month_trunc("_day"))
+        per_trip.join(trips.select("trip_id", "driver_id"), "trip_id")
         .groupBy("_month", "driver_id")
-        .agg(F.sum("_n").alias("num_entregas"), F.count_distinct("_day").alias("_days"))
+        .agg(F.sum("_n").alias("num_entregas"), cal.days_in_mask(F.bit_or("_mask")).alias("_days"))
         .join(
             drivers.where(F.col("status") == ACTIVE).select("driver_id", "first_name", "last_name"),
             "driver_id",

@@ -15,10 +15,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelflow import schemas
 from parcelflow.functions import calendar as cal
 from parcelflow.functions import metrics as m
-from parcelflow.operators import expansion, fact, integrity, keys, quality, reports, scans
+from parcelflow.operators import expansion, fact, history, integrity, keys, quality, reports, scans
 from parcelflow.operators.etl import add_group_size
+from parcelflow.plans import load_state
 from parcelflow.plans.first_load import FirstLoad, customers_after_two_loads
 from parcelflow.plans.pipeline import run_pipeline
 from parcelflow.session import ensure_checkpoint_dir
@@ -76,8 +78,7 @@ def _after_two_batches(t: FleetTables) -> Warehouse:
     The first sees two lines of every trip, and every seventh trip's
     deliveries a day before their final date; the second sees everything.
     """
-    spark = t.deliveries.sparkSession
-    wh = Warehouse(spark, f"{ensure_checkpoint_dir(spark)}/two-batches-{uuid.uuid4().hex}")
+    spark, wh = t.deliveries.sparkSession, _new_warehouse(t)
     line = F.expr("delivery_id div 100000 % 10")
     early = F.col("scheduled_datetime") - F.expr("INTERVAL 1 DAY")
     first = t.deliveries.where(line <= 2).withColumn(
@@ -89,6 +90,62 @@ def _after_two_batches(t: FleetTables) -> Warehouse:
     return wh
 
 
+def _new_warehouse(t: FleetTables) -> Warehouse:
+    spark = t.deliveries.sparkSession
+    return Warehouse(spark, f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}")
+
+
+def _earlier(t: FleetTables) -> FleetTables:
+    """The fleet before some of its dependencies changed: other tolls, drivers and vehicles that are not there yet."""
+    tables = {name: t.table(name) for name in TABLE_NAMES}
+    toll = F.when(F.col("route_id") % 3 == 0, F.col("toll_cost") + 5000).otherwise(F.col("toll_cost"))
+    return FleetTables.from_frames(**tables | {
+        "routes": t.routes.withColumn("toll_cost", toll.cast("decimal(10,2)")),
+        "drivers": t.drivers.where("driver_id % 5 <> 0"),
+        "vehicles": t.vehicles.where("vehicle_id % 7 <> 0"),
+    })
+
+
+def _facts_after_dependency_changes(t: FleetTables) -> DataFrame:
+    """The fact after a second batch over the same deliveries, once tolls changed and drivers and vehicles turned up."""
+    spark, wh = t.deliveries.sparkSession, _new_warehouse(t)
+    run_pipeline(spark, _earlier(t), wh, AS_OF, batch_id=1)
+    run_pipeline(spark, t, wh, AS_OF, batch_id=2)
+    return wh.read("fact_deliveries").select(
+        *(c for c in fact.FACT_COLUMNS if c not in ("customer_key", "etl_batch_id"))
+    )
+
+
+def _rerun_changes_nothing(t: FleetTables) -> DataFrame:
+    """Deliveries by what became of them, and how many rows a second run over the same tables looked at and loaded."""
+    spark, wh = t.deliveries.sparkSession, _new_warehouse(t)
+    run_pipeline(spark, t, wh, AS_OF, batch_id=1)
+    again = run_pipeline(spark, t, wh, AS_OF, batch_id=2)
+    state = load_state.newest_state(wh.read("load_state"))
+    outcome = F.when(F.col("date_key").isNotNull(), F.lit("loaded")).otherwise(F.col("reason"))
+    return state.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n")).withColumns({
+        "rerun_extracted": F.lit(again.records_extracted).cast("bigint"),
+        "rerun_loaded": F.lit(again.records_loaded).cast("bigint"),
+    })
+
+
+def _vehicle_versions(t: FleetTables) -> DataFrame:
+    """The history of vehicles seen on two days, half of them changed in between and some new."""
+    first = t.vehicles.where("vehicle_id % 7 <> 0").withColumn(
+        "status", F.when(F.col("vehicle_id") % 2 == 0, F.lit("new")).otherwise(F.col("status"))
+    )
+    spark, key, schema = t.deliveries.sparkSession, "vehicle_id", schemas.VEHICLE_HISTORY
+    empty = spark.createDataFrame([], schema)
+    before = history.close_out(empty, first, key, AS_OF - _dt.timedelta(days=90), schema)
+    return history.close_out(before, t.vehicles, key, AS_OF - _dt.timedelta(days=45), schema)
+
+
+def _trips_by_version(t: FleetTables) -> DataFrame:
+    trips = t.trips.select("trip_id", "vehicle_id", "departure_datetime")
+    dated = history.valid_at(trips, _vehicle_versions(t), "vehicle_id", "departure_datetime", ["version", "status"])
+    return dated.groupBy("vehicle_id", "version", "status").agg(F.count(F.lit(1)).alias("num_viajes"))
+
+
 def _facts_of_two_batches(t: FleetTables) -> DataFrame:
     return _after_two_batches(t).read("fact_deliveries").select(
         *(c for c in fact.FACT_COLUMNS if c not in ("customer_key", "etl_batch_id"))
@@ -114,6 +171,10 @@ ETL: dict[str, TableQuery] = {
     "operations_view": lambda t: _load(t, staged=True).operations_view(),
     "fact_after_two_batches": _facts_of_two_batches,
     "totals_after_two_batches": _totals_of_two_batches,
+    "fact_after_dependency_changes": _facts_after_dependency_changes,
+    "rerun_changes_nothing": _rerun_changes_nothing,
+    "vehicle_history": _vehicle_versions,
+    "trips_by_vehicle_version": _trips_by_version,
     "merge_insert_if_absent": lambda t: customers_after_two_loads(
         t, AS_OF - _dt.timedelta(days=60), AS_OF
     ),

@@ -4,15 +4,18 @@ Spark form of the reference's batch job. The driver only plans and counts;
 executors do every join and write. Differences from the reference (most are
 SURVEY §5 traps):
 
-* a batch starts from what changed: deliveries of the window whose own or
-  whose trip's values differ from what the fact was loaded from
-  (``fact_state`` keeps a fingerprint per delivery). All deliveries of a
-  touched trip are derived anew, because per-trip metrics depend on each other;
+* a batch starts from what changed: deliveries of the window that are neither
+  loaded nor rejected as they, their trips, routes, vehicles and drivers are now
+  (``plans.load_state``). All deliveries of a touched trip are derived anew,
+  because per-trip metrics depend on each other; a rejected delivery is tried
+  again once what it lacked is there;
 * the fact holds one row per delivery: the ``date_key`` partitions that hold
   old or new rows of the batch are rewritten (T8). So daily batches, stream
   micro-batches and one run over everything end in the same fact;
-* totals are recomputed from the whole fact partition of every touched date,
-  one row per date (T22);
+* totals are kept as sums per date: a batch adds the rows it loads and takes
+  off those it replaces (T22);
+* dimensions, fact, state and totals become visible together, by one commit at
+  the end of the batch; a batch that fails leaves readers on the state before;
 * the transformed batch is written to a stage folder and read back, so the
   dimension builds and the fact load reuse it, and lost executors never force
   a rerun of the whole lineage; the folder goes when the batch is done;
@@ -23,7 +26,10 @@ SURVEY §5 traps):
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +37,8 @@ from pyspark.sql import functions as F
 from parcelflow import schemas
 from parcelflow.functions import calendar as cal
 from parcelflow.operators import dimensions as dims
-from parcelflow.operators import etl, fact
+from parcelflow.operators import etl, fact, history, keys
+from parcelflow.plans import load_state
 from parcelflow.plans.first_load import batch_id_for
 from parcelflow.session import ensure_checkpoint_dir
 from parcelflow.sinks.warehouse import Warehouse, stage_overwrite
@@ -56,94 +63,71 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def source_state(t: FleetTables, as_of: _dt.date, days: int) -> DataFrame:
-    """``delivery_id, trip_id, fingerprint`` of the window's deliveries that the transform keeps.
-
-    The fingerprint covers the delivery's and its trip's columns; only these
-    narrow columns of the two tables are read and joined.
-    """
-    since = cal.days_before(as_of, days)
-    d = etl.kept_rows(t.deliveries.where(F.col("delivered_datetime") >= F.lit(since)))
-    own = [F.col(c) for c in sorted(d.columns)]
-    d = d.select("delivery_id", "trip_id", F.xxhash64(*own).alias("_delivery"))
-    trip = [F.col(c) for c in sorted(t.trips.columns)]
-    trips = t.trips.select("trip_id", F.xxhash64(*trip).alias("_trip"))
-    return d.join(trips, "trip_id").select("delivery_id", "trip_id", F.xxhash64("_delivery", "_trip").alias("fingerprint"))
+def load_customers(wh: Warehouse, staged: DataFrame, as_of: _dt.date, stage: str) -> DataFrame:
+    """Insert the batch's new customers; return name -> key for the batch's names only."""
+    names = stage_overwrite(staged.select("customer_name").where("customer_name IS NOT NULL").distinct(), f"{stage}/names")
+    customers = wh.read("dim_customer").select("customer_name", "customer_key")
+    likely = keys.probably_among(customers, "customer_name", names, names.count())
+    known = stage_overwrite(likely.join(names, "customer_name", "left_semi"), f"{stage}/known_customers")
+    top = customers.agg(F.max("customer_key")).first()[0] or 0
+    inserts = dims.customer_inserts(dims.stage_customers(staged), known, as_of, int(top))
+    new = stage_overwrite(inserts, f"{stage}/new_customers")
+    wh.append("dim_customer", new)
+    return known.union(new.select(*known.columns)).groupBy("customer_name").agg(F.min("customer_key").alias("customer_key"))
 
 
-def touched_trips(state: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Trips with a delivery that isn't loaded as it is now, and the trips such deliveries were loaded from."""
-    changed = state.join(loaded.select("delivery_id", "fingerprint"), ["delivery_id", "fingerprint"], "left_anti")
-    left = loaded.select("delivery_id", "trip_id").join(changed.select("delivery_id"), "delivery_id", "left_semi")
-    return changed.select("trip_id").union(left.select("trip_id")).distinct()
+def _together(*jobs: Callable[[], object]) -> list:
+    """Runs independent Spark jobs at the same time, so that small ones don't wait for each other; the first error is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
-def load_dimensions(wh: Warehouse, staged: DataFrame, as_of: _dt.date) -> dict[str, DataFrame]:
+def load_dimensions(wh: Warehouse, staged: DataFrame, as_of: _dt.date, stage: str) -> dict[str, DataFrame]:
     """Insert new members of the six dimensions; return the key maps."""
-    wh.append("dim_vehicle", dims.vehicle_inserts(dims.stage_vehicles(staged), wh.read("dim_vehicle"), as_of))
-    wh.append("dim_driver", dims.driver_inserts(dims.stage_drivers(staged), wh.read("dim_driver"), as_of))
-    wh.append("dim_route", dims.route_inserts(dims.stage_routes(staged), wh.read("dim_route")))
-    wh.append(
-        "dim_customer", dims.customer_inserts(dims.stage_customers(staged), wh.read("dim_customer"), as_of)
+    read = wh.read
+    customers, *_ = _together(
+        lambda: load_customers(wh, staged, as_of, stage),
+        lambda: wh.append("dim_vehicle", dims.vehicle_inserts(dims.stage_vehicles(staged), read("dim_vehicle"), as_of)),
+        lambda: wh.append("dim_driver", dims.driver_inserts(dims.stage_drivers(staged), read("dim_driver"), as_of)),
+        lambda: wh.append("dim_route", dims.route_inserts(dims.stage_routes(staged), read("dim_route"))),
+        lambda: wh.append("dim_date", dims.date_inserts(staged, read("dim_date"))),
+        lambda: wh.append("dim_time", dims.time_inserts(staged, read("dim_time"))),
     )
-    wh.append("dim_date", dims.date_inserts(staged, wh.read("dim_date")))
-    wh.append("dim_time", dims.time_inserts(staged, wh.read("dim_time")))
-    return dims.key_maps(wh.read("dim_vehicle"), wh.read("dim_driver"), wh.read("dim_route"), wh.read("dim_customer"))
+    return dims.key_maps(read("dim_vehicle"), read("dim_driver"), read("dim_route"), customers)
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """One task per date, several for a date with many rows. ``rows`` is a stored table."""
-    per_date = rows.groupBy("date_key").agg(F.count(F.lit(1)).alias("n"))
-    most = per_date.agg(F.max("n")).first()[0] or 0
-    return rows.repartition("date_key", F.pmod(F.xxhash64("delivery_id"), F.lit(1 + most // ROWS_PER_FILE)))
+def load_history(wh: Warehouse, t: FleetTables, as_of: _dt.date) -> None:
+    """Close and open versions of vehicles and drivers; both histories are of the size of a dimension."""
+    with wh.transaction():
+        for name, rows, key in (("vehicle_history", t.vehicles, "vehicle_id"), ("driver_history", t.drivers, "driver_id")):
+            wh.replace(name, history.close_out(wh.read(name), rows, key, as_of, schemas.WAREHOUSE[name]))
 
 
-def load_facts(
-    wh: Warehouse,
-    staged: DataFrame,
-    state: DataFrame,
-    maps: dict[str, DataFrame],
-    batch_id: int,
-    load_ts: _dt.datetime,
-) -> tuple[int, list[int]]:
-    """Put the batch's rows into the fact in place of older rows of the same deliveries.
-
-    Returns the rows loaded and the dates touched. The list of dates is
-    bounded by the calendar. The fact is rewritten before its state, so a
-    batch that dies in between is simply found changed again.
+def load_facts(wh: Warehouse, new: DataFrame, touched: DataFrame, batch_id: int, stage: str) -> None:
+    """Put the batch's rows (``new``, stored) into fact and totals in place of older rows of the touched deliveries.
+
+    Only the date partitions with old or new rows are read and written. The
+    list of dates is bounded by the calendar.
     """
-    stage = wh.stage_path(batch_id)
-    rows = fact.fact_rows(staged, maps, batch_id).withColumn("etl_timestamp", cal.ntz_literal(load_ts))
-    new = stage_overwrite(schemas.conform(rows, schemas.FACT_DELIVERIES), f"{stage}/fact_rows")
-    ids = new.select("delivery_id")
-    before = wh.read("fact_deliveries").select("delivery_id", "date_key").join(ids, "delivery_id", "left_semi")
-    dates = sorted(r[0] for r in new.select("date_key").union(before.select("date_key")).distinct().collect())
-    if not dates:
-        return 0, []
-    in_dates = F.col("date_key").isin(dates)
-    kept = wh.read("fact_deliveries").where(in_dates).join(ids, "delivery_id", "left_anti")
-    merged = stage_overwrite(kept.unionByName(new), f"{stage}/fact_merged")
-    now = new.select("delivery_id", "date_key").join(state, "delivery_id").select(*schemas.FACT_STATE.names)
-    kept_state = wh.read("fact_state").where(in_dates).join(ids, "delivery_id", "left_anti")
-    merged_state = stage_overwrite(kept_state.unionByName(now), f"{stage}/state_merged")
-    filled = {r[0] for r in merged.select("date_key").distinct().collect()}
-    emptied = [d for d in dates if d not in filled]
-    wh.replace_partitions("fact_deliveries", _spread(merged), ["date_key"])
-    wh.drop_partitions("fact_deliveries", "date_key", emptied)
-    wh.replace_partitions("fact_state", _spread(merged_state), ["date_key"])
-    wh.drop_partitions("fact_state", "date_key", emptied)
-    return new.count(), dates
-
-
-def load_daily_totals(wh: Warehouse, dates: list[int]) -> None:
-    """Totals of the dates, from all of their fact rows; a date without rows left has none."""
+    before = {r[0] for r in touched.select("old_date_key").where("old_date_key IS NOT NULL").distinct().collect()}
+    dates = sorted(before | {r[0] for r in new.select("date_key").distinct().collect()})
     if not dates:
         return
-    rows = wh.read("fact_deliveries").where(F.col("date_key").isin(dates))
-    totals = stage_overwrite(fact.daily_totals(rows), f"{wh.root}/_stage/daily_totals")
-    filled = {r[0] for r in totals.select("date_key").collect()}
-    wh.replace_partitions("daily_totals", totals.repartition("date_key"), ["date_key"])
-    wh.drop_partitions("daily_totals", "date_key", [d for d in dates if d not in filled])
+    ids = touched.select("delivery_id")
+    replaced = wh.read("fact_deliveries").where(F.col("date_key").isin(sorted(before))).join(ids, "delivery_id", "left_semi")
+    sums = fact.changed_sums(wh.read("totals_state"), new, replaced, batch_id)
+    sums = stage_overwrite(sums.coalesce(1), f"{stage}/sums")  # a row per date
+    kept = wh.read("fact_deliveries").where(F.col("date_key").isin(dates)).join(ids, "delivery_id", "left_anti")
+    most = sums.where(F.col("date_key").isin(dates)).agg(F.max("n_rows")).first()[0] or 0
+    spread = F.pmod(F.xxhash64("delivery_id"), F.lit(1 + most // ROWS_PER_FILE))
+    rows = kept.unionByName(new).repartition("date_key", spread)
+    _together(
+        lambda: wh.replace_partitions("fact_deliveries", rows, ["date_key"]),
+        lambda: wh.replace("totals_state", sums),
+        lambda: wh.replace("daily_totals", fact.totals_of(sums)),
+    )
+    filled = {r[0] for r in sums.select("date_key").collect()}
+    wh.drop_partitions("fact_deliveries", "date_key", [d for d in dates if d not in filled])
 
 
 def run_pipeline(
@@ -154,21 +138,28 @@ def run_pipeline(
     batch_id: int | None = None,
     load_ts: _dt.datetime | None = None,
     extract_days: int = 90,
+    keep_history: bool = False,
 ) -> BatchMetrics:
-    """Run one batch as of ``as_of``; stops early when nothing changed."""
+    """Run one batch as of ``as_of``; stops early when nothing changed.
+
+    ``keep_history`` also keeps every version of vehicles and drivers
+    (``operators.history``), whether or not deliveries changed.
+    """
     ensure_checkpoint_dir(spark)
     ref = cal.as_date(as_of)
     batch = int(batch_id if batch_id is not None else batch_id_for(ref))
     stamp = load_ts or _dt.datetime.combine(ref, _dt.time())
     metrics = BatchMetrics(etl_batch_id=batch, as_of=ref)
     try:
+        if keep_history:
+            load_history(wh, tables, ref)
         _run_batch(tables, wh, ref, batch, stamp, extract_days, metrics)
     except Exception:
         metrics.errors += 1
         raise
     finally:
         audit = spark.createDataFrame([tuple(asdict(metrics).values())], schemas.BATCH_METRICS)
-        wh.append("etl_batch_metrics", audit)
+        wh.append("etl_batch_metrics", audit.coalesce(1))
     wh.drop_stage(batch)
     return metrics
 
@@ -177,28 +168,39 @@ def _run_batch(
     t: FleetTables, wh: Warehouse, ref: _dt.date, batch: int, stamp: _dt.datetime, days: int, metrics: BatchMetrics
 ) -> None:
     stage = wh.stage_path(batch)
-    state = stage_overwrite(source_state(t, ref, days), f"{stage}/source_state")
-    trips = stage_overwrite(touched_trips(state, wh.read("fact_state")), f"{stage}/trips")
-    if trips.isEmpty():
+    now = stage_overwrite(load_state.source_state(t, ref, days), f"{stage}/source_state")
+    found = stage_overwrite(load_state.compared(now, load_state.known_state(wh, now)), f"{stage}/compared")
+    if found.where("changed").isEmpty():
         return
-    # Per-trip sizes come with the extract (counted before the big join), so
-    # extract and transform run as one plan and are staged once.
+    trips = stage_overwrite(load_state.touched_trips(found), f"{stage}/trips")
+    touched = stage_overwrite(load_state.touched_rows(found, trips), f"{stage}/touched")
+    # What the transform keeps, per trip: trips come with their sizes, so extract and transform run as one plan.
+    kept = touched.where(F.coalesce("reason", F.lit("")) != load_state.FILTERED)
+    sizes = kept.groupBy("trip_id").agg(F.count(F.lit(1)).alias("deliveries_in_trip"))
+    sizes = stage_overwrite(sizes.join(trips, "trip_id", "left_semi"), f"{stage}/trip_sizes")
+    # Stored, so that the join below is of plain shuffles; the trips with large parts of the batch are not shuffled at all.
+    sized = stage_overwrite(
+        t.trips.join(trips, "trip_id", "left_semi").join(sizes, "trip_id", "left"), f"{stage}/sized_trips"
+    )
+    hot = keys.heavy_hitters(sizes, "trip_id", "deliveries_in_trip")
     extracted, seen = _observed(
-        etl.extract_daily(
-            t.deliveries.join(trips, "trip_id", "left_semi"), t.trips.join(trips, "trip_id", "left_semi"),
-            t.routes, t.vehicles, t.drivers, ref, days, with_trip_sizes=True,
-        ),
-        "extract",
+        etl.extract_daily(t.deliveries, sized, t.routes, t.vehicles, t.drivers, ref, days, hot_trips=hot), "extract"
     )
     staged = stage_overwrite(etl.transform_all(extracted, ref), f"{stage}/transformed")
     metrics.records_extracted = int(seen.get.get("rows", 0))
     metrics.records_transformed = staged.count()
-    if metrics.records_transformed:
-        maps = load_dimensions(wh, staged, ref)
+    with wh.transaction() as snapshot:
+        maps = load_dimensions(wh, staged, ref, stage)
         # stored, so that the lookups are plain shuffles whose hot keys AQE can split
-        maps = {name: stage_overwrite(m, f"{stage}/map_{name}") for name, m in maps.items()}
-        metrics.records_loaded, dates = load_facts(wh, staged, state, maps, batch, stamp)
-        load_daily_totals(wh, dates)
+        stored = _together(*(partial(stage_overwrite, m, f"{stage}/map_{name}") for name, m in maps.items()))
+        maps = dict(zip(maps, stored, strict=True))
+        rows = fact.fact_rows(staged, maps, batch).withColumn("etl_timestamp", cal.ntz_literal(stamp))
+        new = stage_overwrite(schemas.conform(rows, schemas.FACT_DELIVERIES), f"{stage}/fact_rows")
+        _together(
+            lambda: load_facts(wh, new, touched, batch, stage),
+            lambda: load_state.append_state(wh, touched, new, snapshot),
+        )
+    metrics.records_loaded = new.count()
 
 
 def warehouse_key_report(wh: Warehouse) -> DataFrame:

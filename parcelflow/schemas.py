@@ -240,12 +240,27 @@ DAILY_TOTALS = _schema(
     ("etl_batch_id", LONG),
 )
 
-# What each fact row was loaded from: finds deliveries that are new or changed.
-FACT_STATE = _schema(
+# What became of every delivery a batch has looked at: the newest row of an id counts. A loaded
+# delivery has the date_key of its fact row, a rejected one the reason.
+LOAD_STATE = _schema(
+    ("bucket", INT),
     ("delivery_id", LONG),
     ("trip_id", LONG),
     ("fingerprint", LONG),
     ("date_key", INT),
+    ("reason", STR),
+    ("snapshot", LONG),
+)
+
+# Sums behind daily_totals; batches add what they load and take off what they replace.
+TOTALS_STATE = _schema(
+    ("date_key", INT),
+    ("n_rows", LONG),
+    ("revenue", dec(38, 2)),
+    ("minutes", dec(38, 2)),
+    ("n_minutes", LONG),
+    ("n_on_time", LONG),
+    ("etl_batch_id", LONG),
 )
 
 STAGING_DAILY_LOAD = T.StructType(
@@ -264,15 +279,49 @@ BATCH_METRICS = _schema(
     ("errors", LONG),
 )
 
+# Every version of an entity, numbered from 1; kept beside the insert-only dimensions when a batch is asked to.
+VEHICLE_HISTORY = _schema(
+    ("vehicle_id", LONG),
+    ("version", INT),
+    ("license_plate", STR),
+    ("vehicle_type", STR),
+    ("capacity_kg", dec(10, 2)),
+    ("fuel_type", STR),
+    ("acquisition_date", DATE),
+    ("status", STR),
+    ("valid_from", DATE),
+    ("valid_to", DATE),
+    ("is_current", BOOL),
+)
+
+DRIVER_HISTORY = _schema(
+    ("driver_id", LONG),
+    ("version", INT),
+    ("employee_code", STR),
+    ("first_name", STR),
+    ("last_name", STR),
+    ("license_number", STR),
+    ("license_expiry", DATE),
+    ("phone", STR),
+    ("hire_date", DATE),
+    ("status", STR),
+    ("valid_from", DATE),
+    ("valid_to", DATE),
+    ("is_current", BOOL),
+)
+
 WAREHOUSE = {
     "dim_date": DIM_DATE,
     "dim_time": DIM_TIME,
     "dim_vehicle": DIM_VEHICLE,
     "dim_driver": DIM_DRIVER,
     "dim_route": DIM_ROUTE,
+    "vehicle_history": VEHICLE_HISTORY,
+    "driver_history": DRIVER_HISTORY,
     "dim_customer": DIM_CUSTOMER,
     "fact_deliveries": FACT_DELIVERIES,
-    "fact_state": FACT_STATE,
+    "load_state": LOAD_STATE,
+    "totals_state": TOTALS_STATE,
     "daily_totals": DAILY_TOTALS,
     "staging_daily_load": STAGING_DAILY_LOAD,
     "etl_batch_metrics": BATCH_METRICS,

@@ -41,7 +41,7 @@ def test_extract_broadcasts_small_dimensions(spark, scratch):
 
 def test_no_registered_query_uses_a_cross_product(spark):
     for name, fn in catalog.spark_queries().items():
-        if name in {"fact_after_two_batches", "totals_after_two_batches"}:
+        if name in {"fact_after_two_batches", "totals_after_two_batches", "fact_after_dependency_changes", "rerun_changes_nothing"}:
             continue  # these load a warehouse while planning and return a scan of it
         logical = fn(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
         assert "Join Cross" not in logical, name
