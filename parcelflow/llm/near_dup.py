@@ -19,7 +19,9 @@ in one component is closed. Open nodes of up to ``NODE`` classes are then
 compared exhaustively inside a task, which holds that many sketches and sets;
 larger ones branch on, and dissimilar classes part. There is no cap: after
 ``DEEP`` levels what is left is compared exhaustively, in tasks that hold two
-blocks of a node's classes each.
+blocks of a node's classes each. Tasks emit links that join two components
+only, and look at a pair in one of the nodes it shares, so nothing grows with
+the pairs of a node but the comparing itself.
 
 Compared pairs pass a sketch (four bits of each minwise token) five standard
 deviations below the threshold, and then the full shingle sets decide. Pairs
@@ -318,82 +320,125 @@ def first_pairs(rows: DataFrame) -> DataFrame:
     return star.union(rest).distinct()
 
 
-def in_blocks(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, rep, label`` of the ``nodes`` (``node, n``) as nodes of about ``NODE`` classes, two blocks each.
+def units(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``node, rep`` dealt into units that a task can hold: ``unit, own, whole, node, rep``.
 
-    Every pair of a node has both classes in one of them at least.
+    ``blocks`` has ``node, blocks``: a node's classes are hashed into that many
+    blocks, and a unit holds one block (``whole``: compare it inside) or two
+    (compare one with the other). So every pair of a node is in one unit.
     """
-    rows = rows.select("node", "rep", "label").join(nodes.select("node", F.ceil(2 * F.col("n") / NODE).alias("_blocks")), "node")
-    rows = rows.withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_blocks")))
-    rows = rows.withColumn("_other", F.explode(F.expr("sequence(0L, _blocks - 1)")))
-    return rows.select(F.xxhash64("node", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("node"), "rep", "label")
-
-
-def likely_in_nodes(members: DataFrame) -> DataFrame:
-    """``node, a, b``: pairs of a node in two components whose sketches agree often enough.
-
-    ``members`` holds ``node, rep, label, n_shingles, s0 ..`` of nodes with up
-    to ``NODE`` classes, which a task compares in memory.
-    """
-
-    def pairs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(held)
-        rep, label, size = (t.column(c).to_numpy() for c in ("rep", "label", "n_shingles"))
-        bits = np.column_stack([t.column(f"s{j}").to_numpy() for j in range(SKETCH_WORDS)]).view(np.uint64)
-        found = []
-        for lo in range(0, len(rep), 32):
-            x = bits[lo : lo + 32, None, :] ^ bits[None, lo:, :]
+    rows = rows.select("node", "rep").join(blocks, "node")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    rows = rows.withColumn("_other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    unit = F.when(F.col("blocks") == 1, F.col("node")).otherwise(F.xxhash64("node", F.least("own", "_other"), F.greatest("own", "_other")))
+    return rows.select(unit.alias("unit"), "own", (F.col("own") == F.col("_other")).alias("whole"), "node", "rep")
+
+
+class Unit:
+    """The classes of a unit in memory, and which of their pairs are to be looked at here."""
+
+    def __init__(self, t: pa.Table):
+        self.rep, self.label, self.size, self.own = (t.column(c).to_numpy().copy() for c in ("rep", "label", "n_shingles", "own"))
+        self.bits = np.column_stack([t.column(f"s{j}").to_numpy() for j in range(SKETCH_WORDS)]).view(np.uint64)
+        self.node = t.column("node")[0].as_py()
+        self.across = not t.column("whole").to_numpy(zero_copy_only=False).all()
+        # a pair is looked at in the smallest of the nodes that it shares
+        self.before = [{m for m in nodes if m < self.node} for nodes in t.column("nodes").to_pylist()]
+
+    def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs in two components whose sketches agree often enough, the most alike of a stripe first."""
+        for lo in range(0, len(self.rep), 32):
+            x = self.bits[lo : lo + 32, None, :] ^ self.bits[None, lo:, :]
             x |= x >> np.uint64(1)
             x |= x >> np.uint64(2)
             agree = COORDINATES - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(2, dtype=np.int32)
-            row, at = np.nonzero((agree >= SKETCH_LEAST) & (label[lo : lo + 32, None] != label[None, lo:]))
+            ok = (agree >= SKETCH_LEAST) & (self.label[lo : lo + 32, None] != self.label[None, lo:])
+            if self.across:
+                ok &= self.own[lo : lo + 32, None] != self.own[None, lo:]
+            row, at = np.nonzero(ok)
             keep = at > row
-            row, at = row[keep] + lo, at[keep] + lo
-            alike = 100 * np.minimum(size[row], size[at]) >= PERCENT * np.maximum(size[row], size[at])
-            found.append((rep[row[alike]], rep[at[alike]]))
-        a, b = (np.concatenate([f[k] for f in found]) for k in range(2))
-        node = np.full(len(a), t.column("node")[0].as_py(), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["node", "a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            node = batch.column("node").to_numpy()
-            cuts = [0, *(np.flatnonzero(node[1:] != node[:-1]) + 1), len(node)]
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if hi > lo:
-                    if held and node[lo] != last:
-                        yield pairs(held)
-                        held = []
-                    held.append(batch.slice(lo, hi - lo))
-                    last = node[lo]
-        if held:
-            yield pairs(held)
-
-    words = [f"s{j}" for j in range(SKETCH_WORDS)]
-    rows = members.select("node", "rep", "label", "n_shingles", *words).repartition("node").sortWithinPartitions("node")
-    return rows.mapInArrow(run, "node long, a long, b long")
-
-
-def similar_in_nodes(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs ``a, b`` of ``node, a, b`` whose full sets reach ``percent``.
-
-    A pair is checked in one node only, and a node gets each of its sets once.
-    Nodes whose sets hold more than ``NODE_SHINGLES`` together, by ``classes``
-    (``rep, n_shingles``), are not gathered: their pairs are checked in chunks.
+            row, at = row[keep], at[keep]
+            small, large = np.minimum(self.size[row + lo], self.size[at + lo]), np.maximum(self.size[row + lo], self.size[at + lo])
+            alike = 100 * small >= PERCENT * large
+            row, at = row[alike], at[alike]
+            order = np.argsort(-agree[row, at], kind="stable")
+            yield row[order] + lo, at[order] + lo
+
+    def first_here(self, i: int, j: int) -> bool:
+        return self.before[i].isdisjoint(self.before[j])
+
+    def active(self) -> pa.Array:
+        """The classes with a candidate partner: only their sets are needed."""
+        some = np.zeros(len(self.rep), bool)
+        for rows, ats in self.candidates():
+            for i, j in zip(rows.tolist(), ats.tolist(), strict=True):
+                if not (some[i] and some[j]) and self.first_here(i, j):
+                    some[i] = some[j] = True
+        return pa.array(self.rep[some])
+
+    def links(self, sets: list[np.ndarray], percent: int) -> tuple[list[int], list[int]]:
+        """Pairs that reach ``percent``; none between classes that earlier links already join."""
+        a, b = [], []
+        for rows, ats in self.candidates():
+            for i, j in zip(rows.tolist(), ats.tolist(), strict=True):
+                if self.label[i] != self.label[j] and self.first_here(i, j):
+                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                        a.append(int(min(self.rep[i], self.rep[j])))
+                        b.append(int(max(self.rep[i], self.rep[j])))
+                        self.label[self.label == self.label[j]] = self.label[i]
+        return a, b
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The units of a partition sorted by unit, one after the other."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        unit = batch.column("unit").to_numpy()
+        cuts = [0, *(np.flatnonzero(unit[1:] != unit[:-1]) + 1), len(unit)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if hi > lo:
+                if held and unit[lo] != last:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+                last = unit[lo]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def links_in_nodes(inside: DataFrame, docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links ``a, b`` that join the similar classes of every node (``node, rep, label``) of ``inside``.
+
+    Tasks first compare sketches and name the classes that have a partner at
+    all; these come again with their full sets, and tasks emit a link only
+    where it joins two components. So rows grow with the classes of a node,
+    never with its pairs. Units hold up to ``NODE`` classes and about
+    ``NODE_SHINGLES`` hashes; larger nodes are compared block by block.
     """
-    once = stored(pairs.groupBy("a", "b").agg(F.min("node").alias("node")), "node-pairs")
-    wanted = once.select("node", F.col("a").alias("rep")).union(once.select("node", "b")).distinct()
-    heavy = wanted.join(classes.select("rep", "n_shingles"), "rep").groupBy("node").agg(F.sum("n_shingles").alias("_all"))
-    heavy = stored(heavy.where(F.col("_all") > NODE_SHINGLES).select("node"), "heavy-nodes")
-    apart = None
-    if not heavy.isEmpty():
-        apart = similar_sets(once.join(heavy, "node").select("a", "b"), docs, percent)
-        once = stored(once.join(heavy, "node", "left_anti"), "node-pairs")
-    wanted = once.select("node", F.col("a").alias("rep")).union(once.select("node", "b")).distinct()
-    wanted = stored(wanted, "wanted-sets")
-    ids = stored(wanted.select("rep").distinct(), "wanted")
+    lists = stored(inside.groupBy("rep").agg(F.collect_list("node").alias("nodes"), F.min("label").alias("label")), "nodes-of-classes")
+    sketches = classes.drop("tokens").join(lists, "rep")
+    counts = inside.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    blocks = F.when(F.col("n") <= NODE, 1).otherwise(F.ceil(2 * F.col("n") / NODE)).cast("long")
+    held = units(inside, counts.select("node", blocks.alias("blocks"))).join(sketches, "rep")
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _grouped(batches):
+            unit = Unit(t)
+            reps = unit.active()
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(reps), unit.node, np.int64)), reps], ["node", "rep"])
+
+    sorted_units = held.repartition("unit").sortWithinPartitions("unit")
+    active = stored(sorted_units.mapInArrow(name, "node long, rep long").distinct(), "active-classes")
+
+    sizes = active.join(classes.select("rep", "n_shingles"), "rep").groupBy("node").agg(
+        F.sum("n_shingles").alias("_all"), F.count(F.lit(1)).alias("n")
+    )
+    many = F.greatest(F.ceil(2 * F.col("_all") / NODE_SHINGLES), F.ceil(2 * F.col("n") / NODE))
+    fits = (F.col("_all") <= NODE_SHINGLES) & (F.col("n") <= NODE)
+    sizes = stored(sizes.select("node", F.when(fits, 1).otherwise(many).cast("long").alias("blocks")), "node-blocks")
+    ids = stored(active.select("rep").distinct(), "wanted")
     texts = with_possible(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", ids, "rep")
 
     def sets_of(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -401,30 +446,14 @@ def similar_in_nodes(pairs: DataFrame, docs: DataFrame, classes: DataFrame, perc
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["rep", "shingles"])
 
     sets = mapped(texts.where("possible").select("doc_id", "text"), sets_of, "rep long, shingles binary", most=CHUNK)
-    sets = sets.dropDuplicates(["rep"])  # a doc_id may have many rows
-    rows = wanted.join(sets, "rep").select("node", "rep", "shingles")
-
-    def check(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = {r: np.frombuffer(x, np.uint64) for r, x in zip(right.column("rep").to_pylist(), right.column("shingles").to_pylist(), strict=True)}
-        found, label = [], {r: r for r in own}
-
-        def root(r: int) -> int:
-            while label[r] != r:
-                label[r] = label[label[r]]
-                r = label[r]
-            return r
-
-        for a, b in zip(left.column("a").to_pylist(), left.column("b").to_pylist(), strict=True):
-            if (ra := root(a)) != (rb := root(b)):
-                common = len(np.intersect1d(own[a], own[b], assume_unique=True))
-                if 100 * common >= percent * (len(own[a]) + len(own[b]) - common):
-                    found.append((a, b))
-                    label[max(ra, rb)] = min(ra, rb)
-        a, b = ([f[k] for f in found] for k in range(2))
+    sets = sets.join(ids, "rep").dropDuplicates(["rep"])  # a doc_id may have many rows
+    rows = units(active, sizes).join(sketches.join(sets, "rep"), "rep")
+
+    def check(t: pa.Table) -> pa.Table:
+        a, b = Unit(t).links([np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()], percent)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    found = once.select("node", "a", "b").groupBy("node").cogroup(rows.groupBy("node")).applyInArrow(check, "a long, b long")
-    return found if apart is None else found.union(apart)
+    return rows.groupBy("unit").applyInArrow(check, "a long, b long")
 
 
 def descend(join: Join, level: DataFrame) -> list[DataFrame]:
@@ -433,7 +462,6 @@ def descend(join: Join, level: DataFrame) -> list[DataFrame]:
     Returns ``rep, depth`` of the classes in nodes that branched, with the level they came to.
     """
     classes, reached = join.classes, []
-    sketches = classes.drop("tokens")
     for depth in range(2, DEEP + 1):
         open_ = join.labelled(level, "rep", "label").groupBy("node").agg(
             F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"), F.min("label").alias("_lo"), F.max("label").alias("_hi")
@@ -453,9 +481,8 @@ def descend(join: Join, level: DataFrame) -> list[DataFrame]:
         inside = large.join(nodes.where(F.col("n") <= NODE).select("node"), "node").select("node", "rep", "label")
         nodes = nodes.where(F.col("n") > NODE)
         if depth == DEEP:
-            inside = inside.union(in_blocks(large, nodes))
-        likely = stored(join.new(likely_in_nodes(inside.join(sketches, "rep"))), "likely-in-nodes")
-        join.link(similar_in_nodes(likely, join.docs, classes))
+            inside = inside.union(large.join(nodes.select("node"), "node").select("node", "rep", "label"))
+        join.link(links_in_nodes(stored(inside, "nodes-to-compare"), join.docs, classes))
         if depth == DEEP or nodes.isEmpty():
             break
         large = large.join(nodes.select("node"), "node")

@@ -123,25 +123,33 @@ def test_nodes_that_branch_get_further_roots(frame, words, monkeypatch):
     assert asked[0] == near_dup.ROOTS and asked[-1] >= near_dup.roots_for(3)
 
 
-def test_blocks_of_a_large_node_bring_every_pair_together(spark, monkeypatch):
-    monkeypatch.setattr(near_dup, "NODE", 20)
-    rows = spark.range(100).selectExpr("7L AS node", "id AS rep", "id AS label")
+def test_blocks_of_a_large_node_bring_every_pair_together_once(spark):
+    rows = spark.range(100).selectExpr("7L AS node", "id AS rep")
     held = {}
-    for r in near_dup.in_blocks(rows, spark.createDataFrame([(7, 100)], "node long, n long")).distinct().collect():
-        held.setdefault(r.node, set()).add(r.rep)
+    for r in near_dup.units(rows, spark.createDataFrame([(7, 10)], "node long, blocks long")).collect():
+        held.setdefault(r.unit, []).append((r.rep, r.own, r.whole))
+    met = [
+        (a, b) for x in held.values() for a, own_a, whole in x for b, own_b, _ in x if a < b and (whole or own_a != own_b)
+    ]
+    assert sorted(met) == [(a, b) for a in range(100) for b in range(a + 1, 100)]
     assert max(map(len, held.values())) < 50
-    assert {(a, b) for x in held.values() for a in x for b in x} == {(a, b) for a in range(100) for b in range(100)}
 
 
-@pytest.mark.parametrize("most", [50, 1 << 20])
-def test_nodes_of_long_texts_and_repeated_rows(frame, spark, words, monkeypatch, most):
+@pytest.mark.parametrize("most", [150, 1 << 20])
+def test_nodes_emit_links_between_components_only(frame, spark, words, monkeypatch, most):
+    """Ten copies of two kinds, in two nodes: a spanning set of links, each found in one node."""
     monkeypatch.setattr(near_dup, "NODE_SHINGLES", most)
-    base = words(100, 8)
-    check, sets = near_dup.similar_sets, []
-    monkeypatch.setattr(near_dup, "similar_sets", lambda pairs, docs, percent=75: (sets.append(pairs.count()), check(pairs, docs, percent))[1])
-    rows = [(i, " ".join([*base, f"x{i}"])) for i in range(4) for _ in range(5)] + [(9, " ".join(words(100, 9)))]
-    pairs = spark.createDataFrame([(1, 0, 1), (1, 1, 2), (2, 1, 3), (1, 0, 9)], "node long, a long, b long")
-    classes = spark.createDataFrame([(i, 97) for i in (0, 1, 2, 3, 9)], "rep long, n_shingles long")
-    got = near_dup.similar_in_nodes(pairs, frame(rows), classes).collect()
-    assert sorted((r.a, r.b) for r in got) == [(0, 1), (1, 2), (1, 3)]
-    assert sets == ([4] if most == 50 else [])
+    texts = [" ".join([*words(100, 8 + i // 10), f"x{i}"]) for i in range(20)]
+    rows = [(i, t) for i, t in enumerate(texts) for _ in range(1 + i % 3)] + [(30, " ".join(words(100, 3)))]
+    docs = frame(rows)
+    sets = near_dup.document_sets(docs).where("doc_id is not null").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep")
+    inside = spark.createDataFrame([(n, i, min(i, 1) if i < 2 else i) for n in (5, 6) for i in [*range(20), 30]], "node long, rep long, label long")
+    got = sorted((r.a, r.b) for r in near_dup.links_in_nodes(inside, docs, sets.drop("set_key")).collect())
+    assert len(got) == len(set(got)) and all(a // 10 == b // 10 for a, b in got)
+    parent = {i: i for i in range(20)}
+    for a, b in got:
+        old, new = parent[b], parent[a]
+        parent = {k: new if v == old else v for k, v in parent.items()}
+    assert len(set(parent.values())) == 2
+    if most > 1000:
+        assert len(got) == 18  # in one unit nothing is linked twice
