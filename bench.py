@@ -2,9 +2,9 @@
 
 Reads the test tables at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1),
 first lands them as fleet tables (as the operational store would hold
-them; timed separately as setup; ``$BENCH_LAYOUT``: ``bucketed`` catalog
-tables with deliveries and trips co-bucketed on trip_id, the default, or
-plain ``parquet`` folders), then times every report on those
+them; counted; ``$BENCH_LAYOUT``: plain ``parquet`` folders, the default,
+or ``bucketed`` catalog tables with deliveries and trips co-bucketed on
+trip_id), then times every report on those
 tables and one full ETL batch plus an idempotent rerun. Each query runs
 once untimed (warm-up), then the best of two runs counts; the ETL batch
 and its rerun run once each. Queries execute completely with the ``noop``
