@@ -44,6 +44,6 @@ def test_empty_tables(spark, frame, scratch):
 
 
 def test_registry():
-    assert [n.split("_")[0] for n in registry.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in registry.queries()] == [f"op{i}" for i in range(1, 14)]
     assert set(registry.oracle_sql()) <= set(registry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "minhash_near_dedup", "benchmark_decontamination", "pii", "best_fit_packing"]
