@@ -16,12 +16,14 @@ Everything on texts is column functions.
 Cases: a null text is empty and has no spans; spans of one kind never overlap,
 those of different kinds may; digits without end, dots without end and the like
 are matched without recursion; repeated rows are searched each; with no
-candidates nothing is added; other columns are ignored (``redact`` keeps them);
+candidates nothing is added; the work on a text grows with its length and, but
+for a logarithm, its matches; other columns are ignored (``redact`` keeps them);
 an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,6 +50,10 @@ PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 CANDIDATE = r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])[A-Za-z0-9]{8,}+"
 CONTEXT = 24
 
+# Elements of an array merged at once, and code points of a text cut at once.
+BLOCK_BITS, PIECE_BITS = 6, 10
+BLOCK = 1 << BLOCK_BITS
+
 # Words that introduce identifiers and secrets, and words that introduce harmless numbers.
 GAZETTEER = ("token", "password", "passwd", "pwd", "secret", "api key", "apikey", "api_key", "access key", "credential",
              "ssn", "passport", "iban", "account", "contraseña", "passwort", "mot de passe")
@@ -59,27 +65,71 @@ EM_ROUNDS = 50
 PRIOR = 0.5
 
 
-def _spans(text: Column, matches: Column, gaps: Column) -> Column:
-    """``(start, end, match)`` of each match, in code points, from what lies between them."""
-    start = lambda a, i: a["at"] + F.length(F.get(gaps, i))
-    step = lambda a, i: F.struct(
-        (start(a, i) + F.length(F.get(matches, i))).cast("long").alias("at"),
-        F.concat(
-            a["found"],
-            F.array(
-                F.struct(
-                    start(a, i).cast("long").alias("start"),
-                    (start(a, i) + F.length(F.get(matches, i))).cast("long").alias("end"),
-                    F.get(matches, i).alias("match"),
-                )
-            ),
-        ).alias("found"),
-    )
-    none = F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
-    found = F.aggregate(
-        F.sequence(F.lit(0), F.size(matches) - 1), F.struct(F.lit(0).cast("long").alias("at"), none.alias("found")), step, lambda a: a["found"]
-    )
-    return F.when(F.size(matches) > 0, found).otherwise(none)
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _before(values: Column, merge: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """Per element, all elements before it merged (from 0 on).
+
+    A fold that grows an array copies it at every step. Here blocks of ``BLOCK``
+    elements are merged, blocks of blocks likewise, and an element looks back
+    over less than one block per level.
+    """
+
+    def fold(v: Column, lo: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(v, lo + 1, n), F.lit(0).cast("long"), merge)
+
+    def blocked(v: Column) -> Column:
+        if not levels:
+            return F.transform(v, lambda _, i: fold(v, F.lit(0), i))
+        blocks = F.sequence(F.lit(0), F.shiftright(F.size(v), BLOCK_BITS))
+        whole = F.transform(blocks, lambda b: fold(v, F.shiftleft(b, BLOCK_BITS), F.lit(BLOCK)))
+        inside = lambda i: i.bitwiseAND(F.lit(BLOCK - 1))
+        return _let(
+            _before(whole, merge, levels - 1),
+            lambda up: F.transform(v, lambda _, i: merge(F.get(up, F.shiftright(i, BLOCK_BITS)), fold(v, i - inside(i), inside(i)))),
+        )
+
+    return _let(values, blocked)
+
+
+def _below(ordered: Column, bound: Column, equal: bool = False) -> Column:
+    """How many elements of a sorted array lie below ``bound`` (``equal``: or at it), by bisection."""
+    steps = F.array(*(F.lit(1 << k) for k in range(30, -1, -1)))
+
+    def step(at: Column, n: Column) -> Column:
+        there = F.get(ordered, at + n - 1)
+        return F.when(there <= bound if equal else there < bound, at + n).otherwise(at)
+
+    return F.aggregate(F.filter(steps, lambda n: n <= F.size(ordered)), F.lit(0), step)
+
+
+def _spans(matches: Column, gaps: Column, with_context: bool = False) -> Column:
+    """``(start, end, match)`` of each match, in code points, from what lies between them.
+
+    ``with_context`` adds ``before``, the ``CONTEXT`` code points before a match.
+    Candidates have eight code points at least and don't touch, so three of them
+    and the gaps between reach back far enough.
+    """
+
+    def described(m: Column, g: Column, at: Column) -> Column:
+        def one(match: Column, i: Column) -> Column:
+            names = lambda start: [start.alias("start"), (start + F.length(match)).alias("end"), match.alias("match")]
+            more = []
+            if with_context:
+                back = [F.get(x, i - k) for k in (3, 2, 1) for x in (g, m)][1:] + [F.get(g, i)]
+                more = [F.substring(F.concat_ws("", *back), -CONTEXT, CONTEXT).alias("before")]
+            return _let(F.get(at, i) + F.length(F.get(g, i)), lambda start: F.struct(*names(start), *more))
+
+        return F.transform(m, one)
+
+    def placed(m: Column, g: Column) -> Column:
+        sizes = F.transform(m, lambda x, i: (F.length(F.get(g, i)) + F.length(x)).cast("long"))
+        return _let(_before(sizes, lambda a, b: a + b), lambda at: described(m, g, at))
+
+    return _let(matches, lambda m: _let(gaps, lambda g: placed(m, g)))
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -116,43 +166,56 @@ def with_spans(docs: DataFrame) -> DataFrame:
     rows = rows.withColumns(
         {f"_g_{k}": F.when(F.size(f"_m_{k}") > 0, F.split("_text", p, -1)) for k, p in patterns.items()}
     )
-    rows = rows.withColumns({f"_s_{k}": _spans(F.col("_text"), F.col(f"_m_{k}"), F.col(f"_g_{k}")) for k in patterns})
+    rows = rows.withColumns({f"_s_{k}": _spans(F.col(f"_m_{k}"), F.col(f"_g_{k}"), k == "candidate") for k in patterns})
     base = F.concat(*(_checked(kind, rank) for rank, kind in enumerate(PATTERNS)))
     rows = rows.withColumn("base", F.array_sort(base))
-    free = F.filter(
-        "_s_candidate", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+    free = _let(
+        F.array_sort(F.transform("base", lambda b: b["start"])),
+        lambda starts: _let(
+            F.array_sort(F.transform("base", lambda b: b["end"])),
+            # spans that begin before the candidate's end but for those that end before it begins
+            lambda ends: F.filter("_s_candidate", lambda c: _below(starts, c["end"]) == _below(ends, c["start"], equal=True)),
+        ),
     )
-    seen = F.transform(free, lambda c: _described(c, F.col("_text")))
-    return rows.select("_row", "base", seen.alias("candidates")).select("_row.*", "base", "candidates")
+    return rows.select("_row", "base", F.transform(free, _described).alias("candidates")).select("_row.*", "base", "candidates")
 
 
-def _described(c: Column, text: Column) -> Column:
+def _described(c: Column) -> Column:
     """Votes (-1 no, 0 don't know, 1 yes) and binned features of a candidate."""
     token, size = c["match"], F.length(c["match"])
-    from_ = F.greatest(c["start"] - CONTEXT, F.lit(0))
-    before = F.lower(F.substr(text, (from_ + 1).cast("int"), (c["start"] - from_).cast("int")))
-    near = F.regexp_extract(before, r"([=:\x22'])\x20?\x22?$", 1)
-    upper, lower = token.rlike("[A-Z]"), token.rlike("[a-z]")
     vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0).cast("int")
-    listed = F.lit(False)
-    for w in GAZETTEER:
-        listed = listed | F.contains(before, F.lit(w))
-    harmless = F.lit(False)
-    for w in HARMLESS:
-        harmless = harmless | F.contains(before, F.lit(w))
-    return F.struct(
-        c["start"].alias("start"),
-        c["end"].alias("end"),
-        vote(token.rlike("^[A-Z]{4}[A-Z0-9]{12,}$") & (size >= 16), token.rlike("^[0-9]+$")).alias("key_shape"),
-        vote(token.rlike("^[0-9a-f]{16,}$"), size < 12).alias("hex_shape"),
-        vote(listed, harmless).alias("words_before"),
-        vote(near != "", F.lit(False)).alias("sign_before"),
-        vote((size >= 16) & (upper | lower), ~(upper | lower)).alias("mixed"),
-        F.least(F.floor(size / 6), F.lit(7)).cast("int").alias("size"),
-        (upper.cast("int") * 2 + lower.cast("int")).alias("letters"),
-        F.when(near == "=", 1).when(near == ":", 2).when(near != "", 3).otherwise(0).cast("int").alias("sign"),
-        F.when(listed, 2).when(harmless, 1).otherwise(0).cast("int").alias("word"),
-    )
+
+    def seen(before: Column) -> Column:
+        listed, harmless = F.lit(False), F.lit(False)
+        for w in GAZETTEER:
+            listed = listed | F.contains(before, F.lit(w))
+        for w in HARMLESS:
+            harmless = harmless | F.contains(before, F.lit(w))
+        return F.struct(
+            listed.alias("listed"),
+            harmless.alias("harmless"),
+            F.regexp_extract(before, r"([=:\x22'])\x20?\x22?$", 1).alias("near"),
+            token.rlike("[A-Z]").alias("upper"),
+            token.rlike("[a-z]").alias("lower"),
+        )
+
+    def judged(t: Column) -> Column:
+        cased, near = t["upper"] | t["lower"], t["near"]
+        return F.struct(
+            c["start"].alias("start"),
+            c["end"].alias("end"),
+            vote(token.rlike("^[A-Z]{4}[A-Z0-9]{12,}$") & (size >= 16), token.rlike("^[0-9]+$")).alias("key_shape"),
+            vote(token.rlike("^[0-9a-f]{16,}$"), size < 12).alias("hex_shape"),
+            vote(t["listed"], t["harmless"]).alias("words_before"),
+            vote(near != "", F.lit(False)).alias("sign_before"),
+            vote((size >= 16) & cased, ~cased).alias("mixed"),
+            F.least(F.floor(size / 6), F.lit(7)).cast("int").alias("size"),
+            (t["upper"].cast("int") * 2 + t["lower"].cast("int")).alias("letters"),
+            F.when(near == "=", 1).when(near == ":", 2).when(near != "", 3).otherwise(0).cast("int").alias("sign"),
+            F.when(t["listed"], 2).when(t["harmless"], 1).otherwise(0).cast("int").alias("word"),
+        )
+
+    return _let(_let(F.lower(c["before"]), seen), judged)
 
 
 # ---- weak supervision: all of this sees counts of patterns only ----------------------------------------------
@@ -254,6 +317,34 @@ def find_spans(docs: DataFrame) -> DataFrame:
     )
 
 
+def _masked(text: Column, spans: Column) -> Column:
+    """``text`` with its spans replaced; a span that begins inside earlier ones goes with them.
+
+    Parts are cut from pieces of the text, since cutting from the whole would
+    count its code points from the beginning each time.
+    """
+
+    def cut(pieces: Column, lo: Column, hi: Column) -> Column:
+        first, last = (F.shiftright(x.cast("int"), PIECE_BITS) for x in (lo, hi))
+        near = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+        return F.substr(near, (lo - F.shiftleft(first, PIECE_BITS) + 1).cast("int"), (hi - lo).cast("int"))
+
+    def joined(pieces: Column, s: Column, at: Column) -> Column:
+        parts = F.transform(
+            s,
+            lambda x, i: F.when(
+                x["start"] >= F.get(at, i),
+                F.concat(cut(pieces, F.get(at, i), x["start"]), F.lit("<"), F.upper(x["kind"]), F.lit(">")),
+            ).otherwise(""),
+        )
+        end = F.array_max(F.transform(s, lambda x: x["end"]))
+        return F.concat(F.array_join(parts, ""), _let(end, lambda e: cut(pieces, e, F.greatest(e, F.length(text).cast("long")))))
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << PIECE_BITS}}}+"), F.lit(0))
+    ends = lambda s: F.transform(s, lambda x: x["end"])
+    return _let(pieces, lambda p: _let(spans, lambda s: _let(_before(ends(s), lambda a, b: F.greatest(a, b)), lambda at: joined(p, s, at))))
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind, such as ``<EMAIL>``; ``n_chars`` follows."""
     named = docs.select(F.struct("*").alias("_document"), F.col("text"))
@@ -261,27 +352,7 @@ def redact(docs: DataFrame) -> DataFrame:
     classifier = fit(found)
     masked = found.withColumn("_spans", all_spans(classifier))
     text = F.col("text")
-    clean = F.aggregate(
-        "_spans",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda a, s: F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= a["at"],
-                F.concat(
-                    a["parts"],
-                    F.array(
-                        F.concat(
-                            F.substr(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
-                            F.lit("<"), F.upper(s["kind"]), F.lit(">"),
-                        )
-                    ),
-                ),
-            ).otherwise(a["parts"]).alias("parts"),
-        ),
-        lambda a: F.concat(F.array_join(a["parts"], ""), F.substr(text, (a["at"] + 1).cast("int"), F.length(text))),
-    )
-    clean = F.when(F.size("_spans") > 0, clean).otherwise(text)
+    clean = F.when(F.size("_spans") > 0, _masked(text, F.col("_spans"))).otherwise(text)
     rows = masked.withColumn("_clean", clean)
     out = []
     for c in docs.columns:

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from parcelflow.llm import pii
 
@@ -86,3 +87,31 @@ def test_em_finds_the_reliable_labeler():
 
 def test_empty_table(frame):
     assert pii.find_spans(frame([])).count() == 0 and pii.redact(frame([])).count() == 0
+
+
+def test_many_spans_in_one_text(frame):
+    """The work must not grow with the square of a text's matches: 20,000 identifiers and as many addresses."""
+    text = "é " + " ".join(f"token {hashlib.sha1(str(i).encode()).hexdigest()} u{i}@x.yz" for i in range(20_000))
+    docs = frame([(1, text), (2, "plain " * 300_000)])
+    got = {r.doc_id: r for r in pii.find_spans(docs).collect()}
+    assert (got[1].n_email, got[1].base_sha256) == (20_000, brute(text)[4]) and got[2].spans == ""
+    spans = [s.split(":") for s in got[1].spans.split(",")]
+    assert sum(k == "secret" for k, _, _ in spans) > 19_900
+    assert all(re.fullmatch("[0-9a-f]{40}", text[int(a) : int(b)]) for k, a, b in spans if k == "secret")
+    out, at = [], 0
+    for kind, a, b in spans:
+        if int(a) >= at:
+            out.append(text[at : int(a)] + f"<{kind.upper()}>")
+        at = max(at, int(b))
+    clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert clean[1] == "".join(out) + text[at:] and clean[2] == "plain " * 300_000
+
+
+def test_blocked_folds_equal_plain_ones(spark):
+    rows = [(list(range(n, 0, -1)),) for n in (0, 1, 63, 64, 65, 4096, 4097, 9000)]
+    df = spark.createDataFrame(rows, "v array<long>")
+    sums, tops = pii._before(F.col("v"), lambda a, b: a + b), pii._before(F.col("v"), lambda a, b: F.greatest(a, b))
+    for r in df.select("v", sums.alias("s"), tops.alias("t")).collect():
+        assert r.s == [sum(r.v[:i]) for i in range(len(r.v))] and r.t == [max([0, *r.v[:i]]) for i in range(len(r.v))]
+    low = df.select("v", pii._below(F.array_sort("v"), F.lit(50)).alias("n"), pii._below(F.array_sort("v"), F.lit(50), equal=True).alias("m"))
+    assert all((r.n, r.m) == (min(49, len(r.v)), min(50, len(r.v))) for r in low.collect())
