@@ -6,8 +6,10 @@ block by its declared length, and synthesises what WARC asks for and ARC lacks:
 record ids, ISO timestamps, record types and payload digests. Records with
 equal payloads become revisits of one response.
 
-Archives are cut to ``ARCHIVE_BYTES`` of payload, so a task holds one such file
-(and one record more) at a time. Each file is one gzip stream.
+Archives hold about ``ARCHIVE_BYTES`` of payload, dealt by a hash of the whole
+page, so many pages without id or of one URL spread too. Each is written by a
+task of its own, which holds one such file (and one record more) at a time, as
+one gzip stream.
 
 Cases: a null payload is empty; null page ids are left out of the record and
 rank below every other id; null or blank URLs become ``urn:none`` and blanks
@@ -66,7 +68,7 @@ def archive_count(pages: DataFrame, payload: str = "html") -> int:
 def write_arc(pages: DataFrame, path: str, crawl_date: str = CRAWL_DATE) -> None:
     """``page_id, url, html`` as ARC files under ``path``, half of them version 1 and half version 2."""
     n = archive_count(pages)
-    spread = F.pmod(F.xxhash64("page_id", "url"), F.lit(n)).cast("int")
+    spread = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(n)).cast("int")
     body = F.coalesce(F.col("html").cast("string"), F.lit(""))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
@@ -97,7 +99,7 @@ def write_arc(pages: DataFrame, path: str, crawl_date: str = CRAWL_DATE) -> None
     )
     (
         records.unionByName(first)
-        .repartition(n, "archive")
+        .repartitionById(n, F.col("archive"))
         .sortWithinPartitions("archive", "part")
         .select("archive", line.alias("value"))
         .write.partitionBy("archive")
