@@ -45,6 +45,7 @@ BLOCK_BITS = 16
 BLOCK_RADIUS = 5
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 ITEMS_AT_ONCE = 512
+SPAN = 1 << 14
 MARKS = string.punctuation + "«»„“”‚‘’…–—¿¡"
 
 MATCHES = "doc_id long, item_id long, similarity double, word_start long, n_words long"
@@ -139,8 +140,11 @@ class Index:
             # similarity >= PERCENT needs an intersection of at least PERCENT / (100 + PERCENT) of both sizes together
             least = -(-PERCENT * (windows + of_item) // (100 + PERCENT))
             starts = np.flatnonzero(hits[k][windows:] - hits[k][: len(hits[k]) - windows] >= least)
-            for lo in range(0, len(starts), 1 << 14):
-                self._check(runs[k], starts[lo : lo + (1 << 14)], windows, n, items, found)
+            lo = 0
+            while lo < len(starts):  # windows that begin within SPAN of each other: the bits unpacked stay bounded in long texts
+                hi = int(np.searchsorted(starts, starts[lo] + SPAN))
+                self._check(runs[k], starts[lo:hi], windows, n, items, found)
+                lo = hi
         return found
 
     def _check(self, run: np.ndarray, starts: np.ndarray, windows: int, n: int, items: np.ndarray, found: dict) -> None:

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from parcelflow.llm import decontamination as dc
 
@@ -69,3 +70,17 @@ def test_blocks_of_items_and_empty_tables(spark, frame, words, monkeypatch):
     assert dc.contaminated(frame([(1, "a b c d e f")]), none).count() == 0
     assert dc.without_items(frame([(1, "a b")]), none).count() == 1
     assert dc.contaminated(frame([]), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")).count() == 0
+
+
+def test_distant_passages_of_a_long_text(spark, frame, words, monkeypatch):
+    """Two items far apart, and one of them again: the first of equal windows is reported whatever the span."""
+    items = [(1, " ".join(words(30, 1))), (2, " ".join(words(40, 2)))]
+    filler = words(3000, 3)
+    text = " ".join([*filler, items[1][1], *filler, items[0][1], *filler, items[1][1], *filler])
+    found = []
+    for span in (1, 50, 1 << 14):
+        monkeypatch.setattr(dc, "SPAN", span)
+        offsets, hashes = dc.plain_words(pa.array([text]))
+        index = dc.Finder(items).index
+        found.append(index.matches(hashes))
+    assert found[0] == found[1] == found[2] == {1: (1.0, 3000, 40), 0: (1.0, 6040, 30)}
