@@ -42,17 +42,47 @@ def test_binomial_tail(k, n, p):
     assert qr.binomial_tail(k, n, p) == pytest.approx(sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)))
 
 
-def test_cutoffs_hold_the_risk():
+@pytest.mark.parametrize(("k", "n"), [(0, 300), (4, 900), (40, 60)])
+def test_upper_bound(k, n):
+    assert qr.binomial_tail(k, n, qr.upper_bound(k, n, 0.01)) == pytest.approx(0.01, rel=1e-6)
+
+
+def test_additions_gain_most_within_the_risk():
     rule = (qr.Rule("r", "a / b", (1.0, 2.0, 3.0)),)
-    row = {"lang": "en", "good": 5000, "bad": 900, "good_r_0": 49, "bad_r_0": 900, "good_r_1": 10, "bad_r_1": 800, "good_r_2": 0, "bad_r_2": 100}
-    assert qr.choose_cutoffs([row], rule) == {("en", "r"): 2.0}  # the first would gain more, but its bound exceeds the risk
-    few = row | {"lang": None, "good": 200, "good_r_1": 0, "good_r_0": 0}
-    assert qr.choose_cutoffs([few], rule) == {}
+    row = {"good": 5000, "lost": 0, "good_r_0": 49, "bad_r_0": 900, "good_r_1": 10, "bad_r_1": 800, "good_r_2": 0, "bad_r_2": 100}
+    assert qr.best_addition(row, set(), rule, 0.01, 0.05) == ("r", 2.0)  # the first would gain more, but endangers the risk
+    assert qr.best_addition(row | {"lost": 32}, set(), rule, 0.01, 0.05) == ("r", 3.0)  # what is lost already counts
+    assert qr.best_addition(row, {"r"}, rule, 0.01, 0.05) is None
+
+
+def test_only_prefixes_that_pass_jointly_are_used():
+    policy = qr.Policy("en", (("x", 1.0), ("y", 2.0), ("z", 3.0)))
+    got = qr.longest_safe(policy, 5000, [10, 20, 49], tests=6, risk=0.01, level=0.05)
+    assert got.cutoffs == policy.cutoffs[:2] and (got.good, got.rejected) == (5000, 20) and 0.004 < got.bound <= 0.01
+    assert qr.longest_safe(policy, 200, [0, 0, 0], tests=6).cutoffs == ()
+
+
+def test_joint_rejection_is_bounded_where_each_rule_is_safe(spark):
+    """Four rules that each reject 0.5 % of the good documents, all of them others, may not be used together."""
+    rules = tuple(qr.Rule(f"r{k}", "a / b", (0.5,)) for k in range(4))
+    rows = []
+    for lang in ("en", None):
+        for i in range(24000):
+            good, hit = i % 4 > 0, i // 8 % 200
+            rows.append((lang, good, i % 8 >= 4, *(float(hit == k if good else i // 8 % 4 == k or i % 3 == 0) for k in range(4))))
+    data = spark.createDataFrame(rows, "_lang string, _good boolean, _aside boolean, r0 double, r1 double, r2 double, r3 double")
+    picked = qr.pick_policies(data.where("NOT _aside"), rules, risk=0.012)
+    assert {p.lang for p in picked} == {"en", None}
+    for p in picked:
+        aside = [r for r in rows if r[0] == p.lang and r[1] and not r[2]]
+        names = [int(name[1:]) for name, _ in p.cutoffs]
+        lost = sum(any(r[3 + k] for k in names) for r in aside)
+        assert 1 <= len(names) <= 2 and lost < 0.012 * len(aside)
 
 
 def test_learned_cutoff_drops_junk_and_keeps_good(spark, frame, words):
     rows, labels = [], []
-    for i in range(2600):
+    for i in range(5200):
         w = words(30, i % 50)
         if i % 13 == 0:
             w = [x + "###" for x in w]
@@ -63,6 +93,8 @@ def test_learned_cutoff_drops_junk_and_keeps_good(spark, frame, words):
     docs = frame(rows)
     got = {r.doc_id: r.kept for r in qr.quality_verdicts(docs, _labels(spark, labels)).collect()}
     assert all(kept == (i % 13 != 0) for i, kept in got.items())
+    policies = qr.safe_policies(qr.with_counts(docs.select("doc_id", "lang", "text")), _labels(spark, labels))
+    assert policies and all(p.cutoffs and p.rejected == 0 and p.bound <= qr.RISK for p in policies)
     kept = qr.keep_good(docs, _labels(spark, labels))
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, k in got.items() if k}
 
