@@ -24,6 +24,9 @@ empty result.
 from __future__ import annotations
 
 import bisect
+import functools
+import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -42,7 +45,7 @@ CAPACITY = 2048
 END_ID = 0
 RANK_SALTS = 64
 SLICES = (8, 1)
-# Distinct words, and runs of letters in them, whose ids a worker keeps between chunks; beyond it the memory starts anew.
+# Distinct runs of letters, and other words, whose ids a worker keeps between chunks; beyond it the memory starts anew.
 KEPT_WORDS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 RUNS = "band int, slice int, last boolean, kind string, size long, first long, n long"
@@ -55,6 +58,47 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+# The normaliser and pre-tokeniser under which words can be encoded apart (see ``WordIds``).
+WORDWISE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+# composed Latin letters, then marks; an apostrophe may start a contraction and is left out
+LETTERS, MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", r"[!#$%&*+,./:;=?@^_~()\[\]-]*"
+
+
+def is_wordwise(definition: dict) -> bool:
+    """Whether a tokenizer's own definition (its JSON) lets words be encoded apart."""
+    model = definition["model"]
+    added = [t["content"] for t in definition["added_tokens"]]
+    return (
+        all(definition[k] == v for k, v in WORDWISE.items())
+        and model["type"] == "BPE"
+        and not model["dropout"]
+        and definition["truncation"] is None
+        and definition["padding"] is None
+        and not any(re.search(r"\s", t) or re.search(f"{LETTERS}{MARKS}", t)[0] == t for t in added)
+    )
+
+
 class WordIds:
     """Token ids of texts, merged once per distinct word.
 
@@ -62,18 +106,18 @@ class WordIds:
     text are those of its ASCII-space separated words, one after the other. Its
     pre-tokenizer also parts a run of letters from the marks that follow, and it
     lower-cases, so ``Word``, ``word`` and ``word,`` share the ids of ``word``.
-    Words of any other make go through the library as they are.
+    Words of any other make go through the library as they are. All this is read
+    off the tokenizer's definition; under another one whole texts are encoded.
     """
 
-    # composed Latin letters, then marks; an apostrophe may start a contraction and is left out
-    plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&*+,./:;=?@^_~()\[\]-]*)").fullmatch
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            self.wordwise = is_wordwise(json.load(f))
         self.letters: dict[str, bytes] = {}  # runs of letters in lower case
-        self.others: dict[str, bytes] = {"": b""}  # whole words
+        self.others: dict[str, bytes] = {"": b""}  # runs of marks, and whole words of another make
 
     def _learn_letters(self, words: list[str]) -> None:
         """Runs of letters, many in one call: each is one pre-token."""
@@ -81,60 +125,74 @@ class WordIds:
             part = words[lo : lo + 2000]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
-            ends = np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1))
-            for i, w in enumerate(part):
-                self.letters[w] = ids[ends[i] : ends[i + 1]].tobytes()
+            ends = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1))).tolist()
+            held = ids.tobytes()
+            for w, a, b in zip(part, ends[:-1], ends[1:], strict=True):
+                self.letters[w] = held[a:b]
 
     def _learn_others(self, words: list[str]) -> None:
         for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
             self.others[w] = np.array(e.ids, "<u4").tobytes()
 
-    def _words(self, words: list[str]) -> list[bytes]:
+    def _vocabulary(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of the ids of distinct words, and all those ids."""
         if len(self.letters) > KEPT_WORDS:
             self.letters = {}
         if len(self.others) > KEPT_WORDS:
             self.others = {"": b""}
-        others = self.others
-        new = [w for w in words if w not in others]
-        parts = [(w, m[1].lower(), m[2]) for w in new if (m := self.plain(w))]
-        plain = {w for w, _, _ in parts}
-        self._learn_letters(list({a for _, a, _ in parts if a not in self.letters}))
-        self._learn_others([w for w in new if w not in plain] + list({b for _, _, b in parts if b not in others}))
-        letters = self.letters
-        for w, a, b in parts:
-            others[w] = letters[a] + others[b]
-        return [others[w] for w in words]
+        split = pc.extract_regex(words, f"^(?P<letters>{LETTERS})(?P<marks>{MARKS})$")
+        plain = split.is_valid()
+        first = pc.if_else(plain, pc.utf8_lower(pc.struct_field(split, "letters")), None).dictionary_encode()
+        second = pc.if_else(plain, pc.struct_field(split, "marks"), words).dictionary_encode()
+        letters, others = first.dictionary.to_pylist(), second.dictionary.to_pylist()
+        self._learn_letters([w for w in letters if w not in self.letters])
+        self._learn_others([w for w in others if w not in self.others])
+        ids = [b"", *(self.letters[w] for w in letters), *(self.others[w] for w in others)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        # a word has two parts, the first of them empty where it isn't plain
+        parts = np.empty(2 * len(words), np.int64)
+        parts[0::2] = pc.fill_null(first.indices, -1).to_numpy() + 1
+        parts[1::2] = second.indices.to_numpy().astype(np.int64) + 1 + len(letters)
+        return size[parts].reshape(-1, 2).sum(1), _joined(np.frombuffer(b"".join(ids), "<u4"), size, parts)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (one more than texts) and the ids of all texts."""
+        if not self.wordwise:
+            found = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.cumsum([0, *map(len, found)]), np.concatenate([np.empty(0, "<u4"), *found])
         lists = pc.ascii_split_whitespace(texts)
         offsets = lists.offsets.to_numpy().astype(np.int64)
         flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         codes = flat.indices.to_numpy()
-        ids = self._words(flat.dictionary.to_pylist())
-        vocab = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        per_word = size[codes]
-        ends = np.concatenate(([0], np.cumsum(per_word)))
-        # the k-th id of a text chunk is that many places behind the vocabulary's id of the same word
-        shift = (np.cumsum(size) - size)[codes] - ends[:-1]
-        pick = np.arange(ends[-1], dtype=np.int32)
-        pick += np.repeat(shift.astype(np.int32), per_word)
-        return ends[offsets - offsets[0]], vocab[pick]
+        size, vocab = self._vocabulary(flat.dictionary)
+        ends = np.concatenate(([0], np.cumsum(size[codes])))
+        return ends[offsets - offsets[0]], _joined(vocab, size, codes)
+
+
+def _joined(vocab: np.ndarray, size: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The ids of the entries ``codes`` one after the other; ``vocab`` holds those of entry 0, 1, .., ``size`` many each."""
+    per_code = size[codes]
+    ends = np.cumsum(per_code)
+    # the k-th id of the result is that many places behind the vocabulary's id of the same entry
+    shift = (np.cumsum(size) - size)[codes] - (ends - per_code)
+    pick = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+    pick += np.repeat(shift.astype(np.int32), per_code)
+    return vocab[pick]
+
+
+@functools.lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """A worker's reader, which keeps what it has learned from task to task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordIds(path)
 
 
 def document_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Every document's ids and an end id, cut into pieces of at most ``capacity`` tokens."""
     path = path or tokenizer_path()
-    readers: dict[str, WordIds] = {}
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if path not in readers:
-            readers[path] = WordIds(path)
-        offsets, ids = readers[path](texts_of(batch))
+        offsets, ids = word_ids(path)(texts_of(batch))
         rows: list[tuple[int, int, int, int, int]] = []
         for i, (lo, hi) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
             own = np.append(ids[lo:hi], np.array(END_ID, "<u4"))

@@ -1,6 +1,8 @@
+import json
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from parcelflow.llm import packing
@@ -36,6 +38,35 @@ def test_pieces_and_packing(frame):
     assert _check(got, 2048) == -(-sum(e[3] for e in expected) // 2048)
 
 
+def test_words_are_encoded_apart_only_where_the_definition_allows(tmp_path):
+    with open(packing.tokenizer_path(), encoding="utf-8") as f:
+        definition = json.load(f)
+    assert packing.is_wordwise(definition)
+    definition["normalizer"]["normalizers"].pop()  # no lower case
+    assert not packing.is_wordwise(definition)
+    other = tmp_path / "cased.json"
+    other.write_text(json.dumps(definition))
+    texts = pa.array(["Word word, WORD", "", "a  b"])
+    ends, ids = packing.WordIds(str(other))(texts)
+    tokenizer = Tokenizer.from_file(str(other))
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [tokenizer.encode(t).ids for t in texts.to_pylist()]
+
+
+def test_ids_of_all_words_are_those_of_the_library():
+    marks = "!#$%&*+,./:;=?@^_~()[]-'\"<>|{}`\\"
+    words = [a + m + b for a in ("Ab", "ÀÉß", "Ωx", "i\u0307", "I\u0130", "e\u0301", "7a", "") for m in (*marks, "...", "'s", "'LL", "") for b in ("", "z", "\u0301", "9")]
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    for kept in (400_000, 0):
+        reader = packing.WordIds(packing.tokenizer_path())
+        packing.KEPT_WORDS, before = kept, packing.KEPT_WORDS
+        try:
+            for texts in ([*words, " ".join(words)], [" ".join(words[::-1])]):
+                ends, ids = reader(pa.array(texts))
+                assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        finally:
+            packing.KEPT_WORDS = before
+
+
 def test_as_good_as_sequential_best_fit(spark):
     lengths = [int(x) for x in np.random.default_rng(5).integers(1, 101, 3000)] + [1] * 900 + [51] * 300
     rows = [(i, 0, 0, n, i) for i, n in enumerate(lengths)]
