@@ -160,13 +160,17 @@ def labelled_measures(counted: DataFrame, labels: DataFrame, rules: tuple[Rule,
 
 
 def policy_table(spark: SparkSession, policies: list[Policy], rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``_stratum``, and per rule its cutoff and its place in the policy (both null: not used)."""
+    """``_stratum``, and per rule its cutoff and its place in the policy (both null: not used).
+
+    Stored, so that its size is known before the join and decides whether it is broadcast.
+    """
     rows = []
     for p in policies:
         cuts = dict(p.cutoffs)
         places = {name: k + 1 for k, (name, _) in enumerate(p.cutoffs)}
         rows.append(("" if p.lang is None else "=" + p.lang, *(x for r in rules for x in (cuts.get(r.name), places.get(r.name)))))
-    return spark.createDataFrame(rows, "_stratum string, " + ", ".join(f"_cut_{r.name} double, _place_{r.name} int" for r in rules))
+    schema = "_stratum string, " + ", ".join(f"_cut_{r.name} double, _place_{r.name} int" for r in rules)
+    return stored(spark.createDataFrame(rows, schema), "policies")
 
 
 def with_step(rows: DataFrame, lang: str, values: dict[str, Column], policies: DataFrame, spread: Column) -> DataFrame:

@@ -96,6 +96,7 @@ def test_learned_cutoff_drops_junk_and_keeps_good(spark, frame, words):
     policies = qr.safe_policies(qr.with_counts(docs.select("doc_id", "lang", "text")), _labels(spark, labels))
     assert policies and all(p.cutoffs and p.rejected == 0 and p.bound <= qr.RISK for p in policies)
     kept = qr.keep_good(docs, _labels(spark, labels))
+    assert "SortMergeJoin" not in kept._jdf.queryExecution().sparkPlan().toString()  # texts are not shuffled
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, k in got.items() if k}
 
 
