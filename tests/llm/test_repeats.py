@@ -50,6 +50,17 @@ def test_segments_of_long_texts(frame, monkeypatch):
     assert got == brute(rows)
 
 
+def test_hashes_do_not_depend_on_their_chunk(frame):
+    find, size = repeats.Anchors(), np.array([500])
+    high = next(c for c in "abcdefghijklmnopqrstuvwxyz" if next(find(np.full(500, ord(c), np.uint8), size - 500, size))[1] >= 1 << 63)
+    source = random.Random(5)
+    base = "".join(source.choice("abcdefgh") for _ in range(1500))
+    rows, alone = [(1, base), (2, high * 500)], [(3, base)]
+    docs = frame(rows).coalesce(1).union(frame(alone).repartition(2))  # in two partitions: Spark merges unions of single ones
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(docs).collect())
+    assert got == brute(rows + alone)
+
+
 def test_columns_of_an_aligned_collection():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 3, repeats.WIDTH).astype(np.uint8)
