@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.llm.bloom import with_possible
-from parcelflow.llm.common import chunks, mapped, mix, salted_left_join, shingle_sets, short_batches, stored, table, texts_of
+from parcelflow.llm.common import chunks, mapped, mix, released, salted_left_join, shingle_sets, short_batches, stored, table, texts_of
 from parcelflow.llm.components import components
 
 COORDINATES = 128
@@ -62,7 +62,7 @@ SMALL = 12
 DEEP = 8
 CHUNK = 2 << 20  # text bytes whose shingle sets a worker holds at once
 NODE = 4000
-NODE_SHINGLES = 4 << 20  # 32 MB of sets, which a task copies about three times
+NODE_SHINGLES = 2 << 20  # 16 MB of sets, which a task holds about twice
 SKETCH_WORDS = 8
 # Agreements of the four-bit sketch at the threshold: 98 of 128, with a standard deviation of 4.8.
 SKETCH_LEAST = 74
@@ -182,7 +182,7 @@ def _branched(rows: DataFrame, first: bool) -> DataFrame:
                 for row, child in found:
                     yield pa.RecordBatch.from_arrays([pa.array(child), part.column("rep").take(pa.array(row))], ["node", "rep"])
 
-    return rows.mapInArrow(run, "node long, rep long")
+    return rows.mapInArrow(lambda batches: released(run(batches)), "node long, rep long")
 
 
 # ---- sets -----------------------------------------------------------------------------------------------------
@@ -239,7 +239,7 @@ def similar_sets(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> D
                     ok.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return short_batches(both).mapInArrow(run, "a long, b long").distinct()
+    return short_batches(both).mapInArrow(lambda batches: released(run(batches)), "a long, b long").distinct()
 
 
 # ---- the join -------------------------------------------------------------------------------------------------
@@ -430,7 +430,7 @@ def links_in_nodes(inside: DataFrame, docs: DataFrame, classes: DataFrame, perce
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(reps), unit.node, np.int64)), reps], ["node", "rep"])
 
     sorted_units = held.repartition("unit").sortWithinPartitions("unit")
-    active = stored(sorted_units.mapInArrow(name, "node long, rep long").distinct(), "active-classes")
+    active = stored(sorted_units.mapInArrow(lambda batches: released(name(batches)), "node long, rep long").distinct(), "active-classes")
 
     sizes = active.join(classes.select("rep", "n_shingles"), "rep").groupBy("node").agg(
         F.sum("n_shingles").alias("_all"), F.count(F.lit(1)).alias("n")
@@ -450,7 +450,7 @@ def links_in_nodes(inside: DataFrame, docs: DataFrame, classes: DataFrame, perce
     rows = units(active, sizes).join(sketches.join(sets, "rep"), "rep")
 
     def check(t: pa.Table) -> pa.Table:
-        a, b = Unit(t).links([np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()], percent)
+        a, b = Unit(t).links([np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles")], percent)  # views, no copies
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return rows.groupBy("unit").applyInArrow(check, "a long, b long")

@@ -47,6 +47,7 @@ RANK_SALTS = 64
 SLICES = (8, 1)
 # Distinct runs of letters, and other words, whose ids a worker keeps between chunks; beyond it the memory starts anew.
 KEPT_WORDS = 400_000
+CHUNK = 2 << 20  # text bytes a worker tokenises at once
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 RUNS = "band int, slice int, last boolean, kind string, size long, first long, n long"
 SWEPT = "kind string, size long, first long, n long, bin long, offset long, per_bin long"
@@ -205,7 +206,7 @@ def document_pieces(docs: DataFrame, path: str | None = None, capacity: int = CA
             ["doc_id", "piece", "start", "length", "ids_crc32"],
         )
 
-    return mapped(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), cut, PIECES)
+    return mapped(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), cut, PIECES, most=CHUNK)
 
 
 def ranked(pieces: DataFrame) -> DataFrame:
